@@ -7,7 +7,7 @@ per group or limited by a top-k.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -121,52 +121,87 @@ def weighted_average(df: DataFrame, value: str, weight: str) -> Column:
     return F.coalesce(strict_weighted_mean(F.col(value), F.col(weight)), F.lit(0.0))
 
 
-def running_weight(
-    df: DataFrame, value: str, weight: str, slices: int = 256
+def _slice_of(value: Column, low: Column, high: Column, slices: int) -> Column:
+    """Equal-width slice of a value; never decreases as the value grows."""
+    place = F.floor(F.try_divide(value - low, high - low) * slices)
+    return F.coalesce(F.least(place, F.lit(slices - 1)), F.lit(0))
+
+
+def _crossing(running: DataFrame, rank: str, *, keep: list[str]) -> DataFrame:
+    """Per measure the first row whose cumulative weight reaches half of all."""
+    reached = running.filter(F.col("cumulative") >= F.col("total") / 2)
+    row = F.struct(*dict.fromkeys([rank, *keep]))
+    first = reached.groupBy("measure").agg(F.min(row).alias("first"))
+    return first.select("measure", *[f"first.{name}" for name in keep])
+
+
+def _cumulated(rows: DataFrame, order: str) -> DataFrame:
+    upto = W.partitionBy("measure").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    return rows.withColumn("cumulative", F.sum("weight").over(upto) + F.col("before"))
+
+
+def weighted_medians(
+    df: DataFrame, values: Mapping[str, str], weight: str, levels: int = 2, slices: int = 4096
 ) -> DataFrame:
-    """Distinct values with the weight of all values up to and including each.
+    """Lower weighted medians, exact: the first value at half of all weight.
 
-    A prefix sum without a global sort: values are cut into ``slices`` of about
-    equal numbers of distinct values, summed inside their slice by a window, and
-    shifted by the weight of the slices before. Only the slice totals meet in
-    one task.
+    One row per measure with a value. Instead of a running sum over all values,
+    the range that holds the median is narrowed: each level sums the weight of
+    equal-width slices, which needs no shuffle beyond ``slices`` partial sums per
+    task, and keeps the slice in which half of the weight is reached. Only the
+    distinct values of the last slice are ordered. All measures share the passes.
     """
-    per_value = (
-        df.filter(F.col(value).isNotNull() & (F.col(weight) > 0))
-        .groupBy(F.col(value).alias("value"))
-        .agg(F.sum(weight).alias("weight"))
+    named = F.array(
+        *[
+            F.struct(F.lit(name).alias("measure"), F.col(column).cast("double").alias("value"))
+            for name, column in values.items()
+        ]
     )
-    steps = [i / slices for i in range(1, slices)]
-    cuts = per_value.agg(F.percentile_approx("value", steps, 10_000).alias("cuts")).scalar()
-    place = F.array_position(F.sort_array(F.array_append(cuts, F.col("value"))), F.col("value"))
-    sliced = per_value.withColumn("slice", place)
-    earlier = W.orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-    totals = (
-        sliced.groupBy("slice")
-        .agg(F.sum("weight").alias("slice_weight"))
-        .select(
-            "slice",
-            F.coalesce(F.sum("slice_weight").over(earlier), F.lit(0)).alias("before"),
-            F.sum("slice_weight").over(W.partitionBy(F.lit(1))).alias("total"),
-        )
+    points = (
+        df.filter(F.col(weight) > 0)
+        .select(F.inline(named), F.col(weight).alias("weight"))
+        .filter(F.col("value").isNotNull())
     )
-    inside = W.partitionBy("slice").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    # At most ``slices`` rows of three numbers.
-    return sliced.join(F.broadcast(totals), "slice").select(
-        "value",
-        "weight",
-        (F.sum("weight").over(inside) + F.col("before")).alias("cumulative"),
-        "total",
+    span = points.groupBy("measure").agg(
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        F.sum("weight").alias("total"),
+    )
+    # ``before`` is the weight below ``low``, in the type of the total.
+    span = span.withColumn("before", F.col("total") - F.col("total"))
+
+    def inside(span: DataFrame) -> DataFrame:
+        # One row per measure named by the caller.
+        return points.join(F.broadcast(span), "measure").filter("value BETWEEN low AND high")
+
+    for _ in range(levels):
+        place = _slice_of(F.col("value"), F.col("low"), F.col("high"), slices)
+        sums = (
+            inside(span)
+            .groupBy("measure", place.alias("slice"), "total", "before")
+            .agg(
+                F.sum("weight").alias("weight"),
+                F.min("value").alias("low"),
+                F.max("value").alias("high"),
+            )
+        )
+        running = _cumulated(sums, "slice").withColumn(
+            "before", F.col("cumulative") - F.col("weight")
+        )
+        span = _crossing(running, "slice", keep=["low", "high", "total", "before"])
+    last = inside(span).groupBy("measure", "value", "total", "before")
+    ordered = _cumulated(last.agg(F.sum("weight").alias("weight")), "value")
+    return _crossing(ordered, "value", keep=["value"]).withColumnRenamed(
+        "value", "weighted_median"
     )
 
 
-def weighted_median(
-    df: DataFrame, value: str, weight: str, slices: int = 256
-) -> DataFrame:
-    """One row: the first value whose cumulative weight reaches half of all."""
-    running = running_weight(df, value, weight, slices)
-    half = running.filter(F.col("cumulative") >= F.col("total") / 2)
-    return half.agg(F.coalesce(F.min("value"), F.lit(0.0)).alias("weighted_median"))
+def weighted_median(df: DataFrame, value: str, weight: str) -> DataFrame:
+    """One row; 0 when no row has a value and a positive weight."""
+    if value not in df.columns or weight not in df.columns:
+        return df.sparkSession.range(1).select(F.lit(0.0).alias("weighted_median"))
+    found = weighted_medians(df, {value: value}, weight)
+    return found.agg(F.coalesce(F.max("weighted_median"), F.lit(0.0)).alias("weighted_median"))
 
 
 def rainy_day_share(hourly_weather: DataFrame, more_than: float = 0.1) -> DataFrame:
@@ -203,13 +238,19 @@ def overview_kpis(hourly_weather: DataFrame) -> DataFrame:
             for name, source in KPI_MEASURES.items()
         ],
     )
-    medians = {
-        f"median_{name}": weighted_median(hourly_weather, source, "total_trips").scalar()
-        for name, source in KPI_MEASURES.items()
-    }
-    return totals.withColumns(
-        {**medians, "rainy_day_share": rainy_day_share(hourly_weather).scalar()}
+    found = weighted_medians(hourly_weather, KPI_MEASURES, "total_trips")
+    medians = found.agg(
+        F.map_from_entries(F.collect_list(F.struct("measure", "weighted_median"))).alias("medians")
+    )
+    together = totals.withColumns(
+        {"medians": medians.scalar(), "rainy_day_share": rainy_day_share(hourly_weather).scalar()}
     )
+    return together.withColumns(
+        {
+            f"median_{name}": F.coalesce(F.col("medians")[name], F.lit(0.0))
+            for name in KPI_MEASURES
+        }
+    ).drop("medians")
 
 
 # --- trends and patterns -----------------------------------------------------

@@ -103,7 +103,7 @@ def run_report(t: Tables) -> DataFrame:
 
 
 def filtered(t: Tables) -> DataFrame:
-    return explore.explore(t.enriched, _BOROUGH, _WET, explore.WEEKDAYS)
+    return explore.explore(hourly_weather.enrich(t.published_hours), _BOROUGH, _WET, explore.WEEKDAYS)
 
 
 def _averages(df: DataFrame) -> DataFrame:
@@ -126,7 +126,7 @@ def lineitem_average(t: Tables) -> DataFrame:
 
 
 def zone_map(t: Tables) -> DataFrame:
-    zones = explore.regroup_zones(t.hourly_weather, t.zone_totals)
+    zones = explore.regroup_zones(t.published_hours, t.zone_totals)
     placed = explore.map_values(
         zones, "pickup_location_id", "total_trips", by_borough=True, total=True, log=True,
         keep_missing=True,
@@ -173,18 +173,23 @@ def mean_mape(t: Tables) -> DataFrame:
 
 
 def table_counts(t: Tables) -> DataFrame:
+    clean = t.spark.read.parquet(t.published_clean)
+    trips = curation.canonical_trips(clean)
+    enriched = hourly_weather.enrich(t.published_hours, t.settings.conditions)
     return quality.table_counts(
         {
-            "fact_trips": t.facts,
-            "agg_hourly_demand": t.hourly,
-            "agg_zone_summary": t.zone_totals,
-            "agg_daily_summary": t.daily,
-            "agg_hourly_demand_weather": t.hourly_weather,
-            "daily_zone_metrics": marts.daily_zone_metrics(t.enriched),
-            "hourly_demand_summary_weather": marts.hourly_summary(t.enriched),
-            "weather_impact_summary": t.impact,
-            "zone_weather_elasticity": t.elasticity,
-            "od_flow_weather": t.flows,
+            "fact_trips": curation.fact_trips(clean, t.zones, t.zone_range),
+            "agg_hourly_demand": curation.hourly_demand(trips, t.zones, t.zone_range),
+            "agg_zone_summary": curation.zone_summary(trips, t.zones, t.zone_range),
+            "agg_daily_summary": curation.daily_summary(trips),
+            "agg_hourly_demand_weather": t.published_hours,
+            "daily_zone_metrics": marts.daily_zone_metrics(enriched),
+            "hourly_demand_summary_weather": marts.hourly_summary(enriched),
+            "weather_impact_summary": marts.weather_impact(enriched),
+            "zone_weather_elasticity": marts.zone_elasticity(enriched),
+            "od_flow_weather": marts.od_flow(
+                trips, t.weather, t.zones, t.period, t.settings.min_route_trips, t.zone_range
+            ),
         }
     )
 
@@ -198,20 +203,20 @@ def borough_top_zones(t: Tables) -> DataFrame:
 
 
 def borough_profiles(t: Tables) -> DataFrame:
-    zones = zone_model.numeric_features(t.zone_features)
+    zones = zone_model.numeric_features(t.published_features)
     summary = zone_model.group_summary(zones, "pickup_borough", t.settings.profiles)
     return zone_model.rounded_summary(summary)
 
 
 def clipped(t: Tables) -> DataFrame:
     zones = zone_model.clip_features(
-        zone_model.numeric_features(t.zone_features), *t.settings.clusters.clip
+        zone_model.numeric_features(t.published_features), *t.settings.clusters.clip
     )
     return _rounded(zones.select("zone_id", *zone_model.FEATURES), *zone_model.FEATURES)
 
 
 def standardized(t: Tables) -> DataFrame:
-    zones = zone_model.standardize_features(zone_model.numeric_features(t.zone_features))
+    zones = zone_model.standardize_features(zone_model.numeric_features(t.published_features))
     return _rounded(zones.select("zone_id", *zone_model.FEATURES), *zone_model.FEATURES)
 
 
@@ -260,17 +265,17 @@ QUERIES: dict[str, Query] = {
     # exploration
     "filtered_hourly": filtered,
     "filter_options": lambda t: explore.filter_options(t.elasticity),
-    "overview_kpis": lambda t: explore.overview_kpis(t.hourly_weather),
-    "weighted_average": lambda t: _averages(t.hourly_weather),
+    "overview_kpis": lambda t: explore.overview_kpis(t.published_hours),
+    "weighted_average": lambda t: _averages(t.published_hours),
     "weighted_median": lambda t: explore.weighted_median(
-        t.hourly_weather, "avg_total_amount", "total_trips"
+        t.published_hours, "avg_total_amount", "total_trips"
     ),
     "weighted_average_lineitem": lineitem_average,
     "weighted_median_lineitem": lineitem_median,
-    "rainy_day_share": lambda t: explore.rainy_day_share(t.hourly_weather),
-    "daily_trend": lambda t: explore.daily_trend(t.hourly_weather),
-    "hourly_pattern": lambda t: explore.hourly_pattern(t.hourly_weather),
-    "hourly_pattern_by_daytype": lambda t: explore.hourly_pattern_by_day_type(t.hourly_weather),
+    "rainy_day_share": lambda t: explore.rainy_day_share(t.published_hours),
+    "daily_trend": lambda t: explore.daily_trend(t.published_hours),
+    "hourly_pattern": lambda t: explore.hourly_pattern(t.published_hours),
+    "hourly_pattern_by_daytype": lambda t: explore.hourly_pattern_by_day_type(t.published_hours),
     "regroup_zones": lambda t: explore.regroup_zones(filtered(t), t.zone_totals),
     "map_values": zone_map,
     "map_impact": impact_map,

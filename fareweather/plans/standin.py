@@ -40,7 +40,10 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     Every 50th event comes twice, every 101st lies 40 days earlier and every
     211th has no time; the other flaws follow from the event's own values.
     """
-    copies = F.expr("explode(CASE WHEN event_id % 50 = 0 THEN array(0, 1) ELSE array(0) END)")
+    # props is a fixed '{"k": n}'. As output of the generator it is taken apart
+    # once per event and not again in every filter that is pushed down.
+    k = F.expr("""CAST(trim(BOTH '{"k: }' FROM props) AS BIGINT)""")
+    copies = F.when(F.col("event_id") % 50 == 0, 2).otherwise(1)
     base = events.select(
         "event_id",
         "user_id",
@@ -51,8 +54,7 @@ def trips_from_events(events: DataFrame) -> DataFrame:
                     ELSE ts END"""
         ).alias("pu"),
         F.expr("CAST(floor(value * 60) AS BIGINT)").alias("secs"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        copies.alias("copy"),
+        F.explode(F.array_repeat(k, copies)).alias("k"),
     )
     return base.selectExpr(
         "event_id % 3 + 1 AS VendorID",
@@ -124,7 +126,12 @@ def weather_from_events(events: DataFrame) -> DataFrame:
 
 
 class Tables:
-    """The chain of tables over one data folder, each built on first use."""
+    """The chain of tables over one data folder, each built on first use.
+
+    Tables up to the marts are plans over the given files. Interactive and model
+    queries start from published tables, as they do in the full chain: those are
+    written once to the shared folder on first use.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, settings: Settings = SETTINGS):
         self.spark = spark
@@ -242,13 +249,29 @@ class Tables:
             .agg(F.to_json(document).alias("document"))
         )
 
-    @cached_property
-    def published_clean(self) -> str:
-        """Path of the clean trips written to the shared folder, once."""
+    def _publish(self, name: str, df: DataFrame) -> str:
+        """Write a table of the chain to the shared folder."""
         scale = self.folder.rsplit("/", 1)[-1]
         app = self.spark.sparkContext.applicationId
-        path = f"{shared_folder(self.spark)}/{app}/{scale}/clean_trips"
-        return writers.write_table(self.clean, path)
+        return writers.write_table(df, f"{shared_folder(self.spark)}/{app}/{scale}/{name}")
+
+    @cached_property
+    def published_clean(self) -> str:
+        return self._publish("clean_trips", self.clean)
+
+    @cached_property
+    def published_hours(self) -> DataFrame:
+        """Zone-hours with weather as interactive queries read them."""
+        return self.spark.read.parquet(self._publish("hourly_weather", self.hourly_weather))
+
+    @cached_property
+    def published_training(self) -> DataFrame:
+        """Training rows as the models read them: from a written table."""
+        return self.spark.read.parquet(self._publish("training_rows", self.training))
+
+    @cached_property
+    def published_features(self) -> DataFrame:
+        return self.spark.read.parquet(self._publish("zone_features", self.zone_features))
 
     # --- models ---------------------------------------------------------------
 
@@ -258,7 +281,7 @@ class Tables:
 
     @cached_property
     def split(self) -> tuple[DataFrame, DataFrame]:
-        return demand_model.time_split(self.training, self.settings.split_date)
+        return demand_model.time_split(self.published_training, self.settings.split_date)
 
     @cached_property
     def mean_predictions(self) -> DataFrame:
@@ -279,7 +302,7 @@ class Tables:
 
     @cached_property
     def model_input(self) -> DataFrame:
-        return zone_model.model_input(self.zone_features, self.settings.clusters)
+        return zone_model.model_input(self.published_features, self.settings.clusters)
 
     @cached_property
     def cluster_model(self):
@@ -289,12 +312,12 @@ class Tables:
     @cached_property
     def clusters(self) -> DataFrame:
         chosen = zone_model.assign_clusters(
-            self.cluster_model, self.zone_features, self.model_input
+            self.cluster_model, self.published_features, self.model_input
         )
         return zone_model.with_profile(chosen, limits=self.settings.profiles)
 
     @cached_property
     def borough_groups(self) -> DataFrame:
         """Zones grouped and profiled by borough, as fixed clusters."""
-        zones = zone_model.numeric_features(self.zone_features)
+        zones = zone_model.numeric_features(self.published_features)
         return zone_model.with_profile(zones, "pickup_borough", self.settings.profiles)
