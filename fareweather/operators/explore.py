@@ -123,8 +123,8 @@ def weighted_average(df: DataFrame, value: str, weight: str) -> Column:
 
 def _slice_of(value: Column, low: Column, high: Column, slices: int) -> Column:
     """Equal-width slice of a value; never decreases as the value grows."""
-    place = F.floor(F.try_divide(value - low, high - low) * slices)
-    return F.coalesce(F.least(place, F.lit(slices - 1)), F.lit(0))
+    place = F.coalesce(F.floor(F.try_divide(value - low, high - low) * slices), F.lit(0))
+    return F.least(place, F.lit(slices - 1))
 
 
 def _crossing(running: DataFrame, rank: str, *, keep: list[str]) -> DataFrame:
@@ -359,7 +359,8 @@ def map_values(
         value = F.when(F.col("pickup_borough").isNotNull(), value)
     placed = placed.withColumn("display_value", value)
     shown = F.col("display_value")
-    colour = F.log1p(F.greatest(shown, F.lit(0.0))) if log else shown
+    # greatest would turn a null into the 0.
+    colour = F.when(shown < 0, 0.0).otherwise(F.log1p(shown)) if log else shown
     return placed.withColumn("map_color_value", colour)
 
 
@@ -465,8 +466,8 @@ def error_histogram(predictions: DataFrame, bins: int = 60) -> DataFrame:
     ).scalar()
     low, high = ends.getField("low"), ends.getField("high")
     width = (high - low) / bins
-    place = F.floor(F.try_divide(F.col("absolute_error") - low, width))
-    place = F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("bigint")
+    place = F.coalesce(F.floor(F.try_divide(F.col("absolute_error") - low, width)), F.lit(0))
+    place = F.least(place, F.lit(bins - 1)).cast("bigint")
     return (
         rows.groupBy(place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("row_count"))

@@ -698,7 +698,7 @@ FROM guesses g GROUP BY pickup_date"""
 _FINAL["error_histogram"] = """
 SELECT bin, round(low + bin * width, 4) AS bin_start, count(*) AS row_count
 FROM (SELECT low, width,
-    CAST(ifnull(least(floor((absolute_error - low) / nullif(width, 0)), 59), 0) AS BIGINT) AS bin
+    CAST(least(ifnull(floor((absolute_error - low) / nullif(width, 0)), 0), 59) AS BIGINT) AS bin
   FROM guesses, (SELECT min(absolute_error) AS low,
       (max(absolute_error) - min(absolute_error)) / 60 AS width FROM guesses) ends) binned
 GROUP BY bin, low, width"""
