@@ -258,22 +258,24 @@ def _ranking_keys(profile: Column) -> list[Column]:
     return keys
 
 
+_TOP_COLUMNS = (
+    "zone_rank",
+    "pickup_borough",
+    "pickup_zone",
+    "cluster_profile",
+    "avg_demand_lift_pct",
+    "avg_duration_delta_minutes",
+    "total_weather_trips",
+)
+
+
 def top_zones_by_cluster(clusters: DataFrame, n: int = 10, group: str = "cluster_id") -> DataFrame:
     """The first n zones of each group in the order its profile asks for."""
     order = W.partitionBy(group).orderBy(*_ranking_keys(F.col("cluster_profile")), "zone_id")
     return (
         clusters.withColumn("zone_rank", F.row_number().over(order).cast("bigint"))
         .filter(F.col("zone_rank") <= n)
-        .select(
-            group,
-            "zone_rank",
-            "pickup_borough",
-            "pickup_zone",
-            "cluster_profile",
-            "avg_demand_lift_pct",
-            "avg_duration_delta_minutes",
-            "total_weather_trips",
-        )
+        .select(*dict.fromkeys([group, *_TOP_COLUMNS]))
     )
 
 
