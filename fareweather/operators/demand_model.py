@@ -146,7 +146,10 @@ def fit_forest(train: DataFrame, settings: ForestSettings = ForestSettings()) ->
         checkpointInterval=10,
         maxMemoryInMB=1024,
     )
-    points = ready.select("features", TARGET).persist()
+    # The fit passes over these rows dozens of times, so they are spread over all
+    # cores first; the small input files alone would keep most of them idle.
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    points = ready.select("features", TARGET).repartition(cores).persist()
     try:
         model = forest.fit(points)
     finally:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -22,13 +23,10 @@ def require(df: DataFrame, label: str) -> DataFrame:
     return df
 
 
-def read_table(
-    spark: SparkSession, path: str, label: str = "table", schema: T.StructType | None = None
-) -> DataFrame:
+def read_table(spark: SparkSession, path: str, label: str = "table") -> DataFrame:
     """Scan one Parquet table, with a clear error when it is absent or empty."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        return require(reader.parquet(path), f"{label} at {path}")
+        return require(spark.read.parquet(path), f"{label} at {path}")
     except AnalysisException as error:
         raise MissingInput(f"{label} not found at {path}") from error
 
@@ -38,14 +36,38 @@ def trip_paths(folder: str, period: Period, fleet: str = "yellow") -> list[str]:
     return [f"{folder.rstrip('/')}/{fleet}_tripdata_{month}.parquet" for month in period.months]
 
 
+def as_declared(df: DataFrame, schema: T.StructType, label: str = "table") -> DataFrame:
+    """The declared columns in their declared types.
+
+    A cast between equal types vanishes from the plan, so filters still reach
+    the scan.
+    """
+    present = {name.lower() for name in df.columns}
+    missing = [name for name in schema.fieldNames() if name.lower() not in present]
+    if missing:
+        raise MissingInput(f"{label} lacks columns {missing}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def scan_trips(
     spark: SparkSession, paths: Iterable[str], schema: T.StructType = schemas.RAW_TRIPS
 ) -> DataFrame:
-    """Scan several monthly Parquet files as one table."""
-    paths = list(paths)
+    """Scan several monthly Parquet files as one table.
+
+    Months that store a column in another numeric type are scanned apart and
+    brought to the declared types; months that are stored alike share one scan.
+    """
+    alike: dict[str, list[str]] = {}
     for path in paths:
-        read_table(spark, path, "trip file", schema)
-    return spark.read.schema(schema).parquet(*paths)
+        stored = read_table(spark, path, "trip file").schema
+        alike.setdefault(stored.simpleString(), []).append(path)
+    if not alike:
+        raise MissingInput("no trip files named")
+    scans = [
+        as_declared(spark.read.parquet(*group), schema, f"trip file {group[0]}")
+        for group in alike.values()
+    ]
+    return reduce(DataFrame.unionByName, scans)
 
 
 def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:

@@ -18,6 +18,22 @@ def test_months_are_scanned_as_one_table(spark, tmp_path):
         readers.scan_trips(spark, readers.trip_paths(str(tmp_path), Period.of(["2025-03"])))
 
 
+def test_months_may_store_other_types(spark, tmp_path):
+    paths = readers.trip_paths(str(tmp_path), Period.of(["2025-01", "2025-02", "2025-03"]))
+    for path in paths[:2]:
+        trips(spark, {}).write.parquet(path)
+    other = trips(spark, {"passenger_count": 3.0}).withColumns(
+        {"passenger_count": F.col("passenger_count").cast("long"), "PULocationID": F.col("PULocationID").cast("int")}
+    )
+    other.withColumnRenamed("Airport_fee", "airport_fee").write.parquet(paths[2])
+    scanned = readers.scan_trips(spark, paths)
+    assert scanned.schema == schemas.RAW_TRIPS
+    assert sorted(r[0] for r in scanned.select("passenger_count").collect()) == [1.0, 1.0, 3.0]
+    other.drop("tip_amount").write.mode("overwrite").parquet(paths[2])
+    with pytest.raises(readers.MissingInput, match="tip_amount"):
+        readers.scan_trips(spark, paths)
+
+
 def test_empty_table_is_refused(spark, tmp_path):
     path = str(tmp_path / "none.parquet")
     trips(spark, {}).limit(0).write.parquet(path)
