@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fareweather.llm import packing
+from fareweather.llm import decontamination, language, packing, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,7 +27,30 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = language.held_out(4, 2)
+    model = language.fit(docs.where(~held_out))
+    predicted = docs.select("doc_id", held_out.alias("held_out"), language.predictor(spark, model)("text").alias("p"))
+    return predicted.select("doc_id", "held_out", "p.*")
+
+
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    held_out = language.held_out(5, 0)
+    model = toxicity.fit(docs, _table(spark, folder, "labels").where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.scorer(spark, model)("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op4_language": op4_language,
+    "op9_decontamination": op9_decontamination,
+    "op10_toxicity": op10_toxicity,
 }
 SQL: dict[str, str] = {}

@@ -9,7 +9,6 @@ two prefix sums.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +24,11 @@ _BACK = pow(_BASE, -1, 1 << 64)
 _PARTS = np.zeros(256, bool)
 _PARTS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+#: Bytes that part runs of letters and digits: all other ASCII.
+SIGNS = np.zeros(256, bool)
+SIGNS[:128] = True
+SIGNS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
+
 
 def _byte_values() -> np.ndarray:
     return np.random.default_rng(20240229).integers(1, 1 << 64, 256, dtype=_U)
@@ -109,9 +113,9 @@ def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
 class Words:
     """Words of a chunk: byte positions, fingerprints, first word of each text."""
 
-    def __init__(self, chunk: Chunk, lower: bool = False):
+    def __init__(self, chunk: Chunk, lower: bool = False, parts: np.ndarray = _PARTS):
         data, offsets = chunk.data, chunk.offsets
-        inside = ~_PARTS[data]
+        inside = ~parts[data]
         first = np.zeros(len(data) + 1, bool)
         first[offsets] = True
         before = np.empty(len(data), bool)
@@ -122,7 +126,8 @@ class Words:
         after[:-1] = inside[1:]
         self.end = np.flatnonzero(inside & (first[1:] | ~after)) + 1
         self.of_text = np.searchsorted(self.start, offsets)
-        self.hash = stretch(chunk.prefix(lower), self.start, self.end)
+        self.prefix = chunk.prefix(lower)
+        self.hash = stretch(self.prefix, self.start, self.end)
 
     def __len__(self) -> int:
         return len(self.start)
@@ -158,11 +163,6 @@ def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + shift
 
 
-@cache
-def signed() -> np.dtype:
-    return np.dtype(np.int64)
-
-
 def as_long(h: np.ndarray) -> pa.Array:
     """Fingerprints as Spark's signed 64-bit type."""
     return pa.array(h.view(np.int64))
