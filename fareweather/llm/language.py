@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
+_SIGN = re.compile(r"[^\w\s]|[\d_]")
 
 SCHEMA = "lang_pred string, score double, margin double, rejected boolean"
 
@@ -28,18 +29,20 @@ SCHEMA = "lang_pred string, score double, margin double, rejected boolean"
 class Settings:
     """``languages``: at most so many, the most frequent; ``rows`` and ``row_bytes``:
     sampled rows of a language and the longest text among them; ``dictionary_bytes``:
-    of each dictionary; ``levels``: encoders whose sizes are added up, ``fine_levels``
-    below ``fine_bytes`` of text, where single bytes matter; ``margin``: the least
-    lead, as a share of the smallest size, that is not narrow."""
+    of each dictionary; ``level``: of the encoder. Texts that shrink below ``fine_bytes``,
+    where single bytes matter, are encoded at ``fine_levels`` with each of ``fine_parts``
+    parts of a dictionary, and the sizes averaged. ``margin``: the least lead, as a
+    share of the smallest size, that is not narrow."""
 
     languages: int = 64
     rows: int = 300
     row_bytes: int = 16_384
     dictionary_bytes: int = 131_072
-    levels: tuple[int, ...] = (3,)
-    fine_levels: tuple[int, ...] = (1, 3, 9, 19)
-    fine_bytes: int = 400
-    margin: float = 0.004
+    level: int = 3
+    fine_levels: tuple[int, ...] = (3, 19)
+    fine_parts: int = 4
+    fine_bytes: int = 250
+    margin: float = 0.002
 
 
 @dataclass(frozen=True)
@@ -70,11 +73,16 @@ def fit(docs: DataFrame, label: str = "lang", settings: Settings = Settings()) -
     for r in given.join(F.broadcast(sample), ["_label", "_id"]).orderBy("_label", "_rank", "_text").limit(
         s.rows * max(len(names), 1)
     ).collect():
-        texts[r["_label"]].append(r["_text"].lower().encode())
-    contents = tuple(b"\n".join(texts[n])[: s.dictionary_bytes] for n in names)
+        texts[r["_label"]].append(_plain(r["_text"]))
+    contents = tuple(b"".join(texts[n])[: s.dictionary_bytes] for n in names)
     return Model(tuple(names), contents, s)
 
 
+def _plain(text: str) -> bytes:
+    """Lower-case words alone: signs and digits tell nothing and part no word."""
+    return (" " + " ".join(_SIGN.sub("", text.lower()).split()) + " ").encode("utf-8", "replace")
+
+
 class _Encoders:
     def __init__(self, model: Model):
         import zstandard
@@ -88,20 +96,23 @@ class _Encoders:
                 level=level, dict_data=given, write_checksum=False, write_content_size=False, write_dict_id=False
             )
 
+        s = model.settings
         self.model = model
-        levels = {*model.settings.levels, *model.settings.fine_levels}
-        self.by_level = {v: [encoder(c, v) for c in model.contents] for v in levels}
+        self.whole = [[encoder(c, s.level)] for c in model.contents]
+        self.fine = [
+            [encoder(c[k * len(c) // s.fine_parts : (k + 1) * len(c) // s.fine_parts], v) for k in range(s.fine_parts) for v in s.fine_levels]
+            for c in model.contents
+        ]
 
     def __call__(self, text: str | None) -> tuple[str, float, float, bool]:
         m, s = self.model, self.model.settings
         if not text or not m.names or not _LETTER.search(text):
             return UNKNOWN, 0.0, 0.0, True
-        data = text.lower().encode("utf-8", "replace")
-        levels = s.fine_levels if len(data) < s.fine_bytes else s.levels
-        sizes = [0.0] * len(m.names)
-        for v in levels:
-            for i, e in enumerate(self.by_level[v]):
-                sizes[i] += len(e.compress(data)) / len(levels)
+        data = _plain(text)
+        for encoders in (self.whole, self.fine):
+            sizes = [sum(len(e.compress(data)) for e in own) / len(own) for own in encoders]
+            if min(sizes) >= s.fine_bytes:
+                break
         order = sorted(range(len(sizes)), key=sizes.__getitem__)
         best = sizes[order[0]]
         score = 1.0 / sum(2.0 ** max(best - x, -1000.0) for x in sizes)

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fareweather.llm import decontamination, language, packing, toxicity
+from fareweather.llm import decontamination, language, packing, store, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    store.ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from fareweather.session import shared_folder
 
@@ -18,3 +21,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Spark copies the archive from the driver to the executors itself.
+    """
+    if spark.conf.get("fareweather.shipped", "") == spark.sparkContext.applicationId:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = f"{tempfile.mkdtemp(prefix='fareweather-')}/fareweather.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set("fareweather.shipped", spark.sparkContext.applicationId)

@@ -40,14 +40,17 @@ IDENTITY_TERMS = (
 @dataclass(frozen=True)
 class Settings:
     """``rows``: labelled rows at most in the fit, drawn by hash; ``least``: sampled
-    texts a word must stand in; ``beginnings``: lengths in bytes of word beginnings;
+    texts a word must stand in; ``signal``: how many standard deviations its share of
+    toxic texts must lie off the common one, else the word is left out, so that long
+    texts do not gather noise; ``beginnings``: lengths in bytes of word beginnings;
     ``penalty``: of squared score changes; ``decay``: of squared weights."""
 
     rows: int = 20_000
     least: int = 3
+    signal: float = 3.5
     beginnings: tuple[int, ...] = (4, 5, 6)
     penalty: float = 5.0
-    decay: float = 0.3
+    decay: float = 0.03
     steps: int = 150
     terms: tuple[tuple[str, ...], ...] = field(default=IDENTITY_TERMS)
 
@@ -151,7 +154,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     values, count = lists("features")
     twin_values, twin_count = lists("twin")
     known, back, seen = np.unique(values, return_inverse=True, return_counts=True)
-    wanted = seen >= s.least
+    share = label.mean()
+    toxic = np.bincount(back, np.repeat(label, count), len(known))
+    wanted = np.abs(toxic - share * seen) >= s.signal * np.sqrt(seen * max(share * (1 - share), 1e-12))
+    wanted &= seen >= s.least
     wanted |= np.isin(known, twin_values)
     place = np.cumsum(wanted) - 1
     used = wanted[back]
