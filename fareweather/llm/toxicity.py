@@ -50,7 +50,7 @@ class Settings:
     signal: float = 3.5
     beginnings: tuple[int, ...] = (4, 5, 6)
     penalty: float = 5.0
-    decay: float = 0.03
+    decay: float = 1.0
     steps: int = 150
     terms: tuple[tuple[str, ...], ...] = field(default=IDENTITY_TERMS)
 
@@ -153,29 +153,29 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
     values, count = lists("features")
     twin_values, twin_count = lists("twin")
+    owner = np.repeat(np.arange(len(count)), count)
+    twin_owner = np.repeat(np.arange(len(twin_count)), twin_count)
+    # What a text and its twin do not share: +1 for the text, -1 for the twin.
+    plain = twin_count[owner] > 0
+    change = np.concatenate([values[plain], twin_values])
+    changed = np.concatenate([owner[plain], twin_owner])
+    sign = np.concatenate([np.ones(int(plain.sum())), -np.ones(len(twin_owner))])
+    order = np.lexsort((change, changed))
+    change, changed, sign = change[order], changed[order], sign[order]
+    pair = (change[1:] == change[:-1]) & (changed[1:] == changed[:-1])
+    alone = ~(np.append(pair, False) | np.insert(pair, 0, False))
+    change, changed, sign = change[alone], changed[alone], sign[alone]
+
     known, back, seen = np.unique(values, return_inverse=True, return_counts=True)
     share = label.mean()
-    toxic = np.bincount(back, np.repeat(label, count), len(known))
+    toxic = np.bincount(back, label[owner], len(known))
     wanted = np.abs(toxic - share * seen) >= s.signal * np.sqrt(seen * max(share * (1 - share), 1e-12))
     wanted &= seen >= s.least
-    wanted |= np.isin(known, twin_values)
-    place = np.cumsum(wanted) - 1
-    used = wanted[back]
-    owner = np.repeat(np.arange(len(count)), count)[used]
-    column = place[back[used]]
-    known = known[wanted]
-    # Differences between a text and its twin; order of equal rows cannot matter to sums.
-    twin_owner = np.repeat(np.arange(len(twin_count)), twin_count)
-    at = np.minimum(np.searchsorted(known, twin_values), max(len(known) - 1, 0))
-    fresh = known[at] != twin_values if len(known) else np.ones(len(twin_values), bool)
-    extra = np.unique(twin_values[fresh])
-    features = np.concatenate([known, extra])
-    twin_column = np.where(fresh, len(known) + np.searchsorted(extra, twin_values), at)
-    has = twin_count > 0
-    plain = has[owner]
-    d_owner = np.concatenate([owner[plain], twin_owner])
-    d_column = np.concatenate([column[plain], twin_column])
-    d_value = np.concatenate([np.ones(int(plain.sum())), -np.ones(len(twin_owner))])
+    features = np.unique(np.concatenate([known[wanted], change]))
+    place = np.searchsorted(features, values)
+    used = features[np.minimum(place, max(len(features) - 1, 0))] == values if len(features) else np.zeros(len(values), bool)
+    owner, column = owner[used], place[used]
+    d_owner, d_column, d_value = changed, np.searchsorted(features, change), sign
 
     n, k = len(label), len(features)
     w, b = np.zeros(k), 0.0
@@ -185,14 +185,13 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         error = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))) - label
         slope = np.bincount(column, error[owner], k) + s.decay * w
         if len(d_owner):
-            change = np.bincount(d_owner, w[d_column] * d_value, n)
-            slope = slope + 2 * s.penalty * np.bincount(d_column, change[d_owner] * d_value, k)
+            moved = np.bincount(d_owner, w[d_column] * d_value, n)
+            slope = slope + 2 * s.penalty * np.bincount(d_column, moved[d_owner] * d_value, k)
         g = np.append(slope, error.sum()) / n
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
         w, b = w - move[:-1], b - float(move[-1])
-    order = np.argsort(features)
-    return Model(features[order], w[order], b, s)
+    return Model(features, w, b, s)
 
 
 def _scores(words: Words, model: Model) -> np.ndarray:
