@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fareweather.llm import decontamination, embeddings, language, packing, store, toxicity
+from fareweather.llm import decontamination, embeddings, language, ngram_join, packing, store, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("doc_id", "held_out", "p.*")
 
 
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_copies(_table(spark, folder, "documents"))
+
+
 def op8_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_copies(_table(spark, folder, "embeddings"))
 
@@ -55,6 +59,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_language": op4_language,
+    "op5_ngram_join": op5_ngram_join,
     "op8_embeddings": op8_embeddings,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
