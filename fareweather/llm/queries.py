@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fareweather.llm import decontamination, embeddings, language, ngram_join, packing, store, toxicity
+from fareweather.llm import decontamination, embeddings, language, ngram_join, packing, store, substring_dedup, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +20,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = suffix_dedup.deduplicate(_table(spark, folder, "documents"), digest=True)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("kept").cast("string").alias("kept_sha256"))
+
+
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = substring_dedup.deduplicate(_table(spark, folder, "documents"), digest=True)
+    return done.select("doc_id", "n_words", "n_removed", F.col("kept").cast("string").alias("kept_sha256"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     done = packing.pack(_table(spark, folder, "documents"), tokenizer_path())
     return done.select(
@@ -57,6 +67,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_packing": op3_packing,
     "op4_language": op4_language,
     "op5_ngram_join": op5_ngram_join,
