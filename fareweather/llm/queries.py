@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fareweather.llm import decontamination, embeddings, language, ngram_join, packing, store, substring_dedup, suffix_dedup, toxicity
+from fareweather.llm import decontamination, embeddings, language, ngram_join, packing, pii, store, substring_dedup, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -50,6 +50,12 @@ def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_copies(_table(spark, folder, "documents"))
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.report(_table(spark, folder, "documents"))
+    counts = [f"n_{kind}" for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op8_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_copies(_table(spark, folder, "embeddings"))
 
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_language": op4_language,
     "op5_ngram_join": op5_ngram_join,
+    "op7_pii": op7_pii,
     "op8_embeddings": op8_embeddings,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
