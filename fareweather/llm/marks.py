@@ -33,14 +33,18 @@ def unpacked(mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, start + ((mark >> 2) & 0x3FFFFF)
 
 
+def unique_ids(docs: DataFrame) -> bool:
+    """Whether every row has an id of its own."""
+    counts = docs.groupBy("doc_id").count().agg(F.max("count"), F.max(F.col("doc_id").isNull().cast("int"))).first()
+    return counts[0] is None or (counts[0] == 1 and counts[1] == 0)
+
+
 def with_uid(docs: DataFrame) -> DataFrame:
     """doc_id, text and ``uid``, the same for equal rows only, and never null.
 
     The id itself where ids are unique, else a fingerprint of the row."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    counts = docs.groupBy("doc_id").count().agg(F.max("count"), F.max(F.col("doc_id").isNull().cast("int"))).first()
-    unique = counts[0] is None or (counts[0] == 1 and counts[1] == 0)
-    return docs.withColumn("uid", F.coalesce("doc_id", F.lit(0)) if unique else F.xxhash64("doc_id", "text"))
+    return docs.withColumn("uid", F.coalesce("doc_id", F.lit(0)) if unique_ids(docs) else F.xxhash64("doc_id", "text"))
 
 
 def _runs(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

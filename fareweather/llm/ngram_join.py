@@ -9,11 +9,11 @@ a percentage. Equal sets are one class; the rest runs on one document of each.
 2. Shingles are hashed into groups, and a set becomes the point of its group
    counts. In a bucket the points are indexed in an R-tree: the summed minima of a
    point and a node's upper corner bound the overlap with all below the node.
-3. Of the pairs that survive, a bucket first passes on a spanning forest, so a group
-   of m near copies costs m-1 pairs. These are verified on the whole sets. Where a
-   pair of a forest fails, its bucket's other pairs between documents that are not
-   connected yet are verified as well, so no link that matters to a component is
-   lost.
+3. Of the pairs that survive, a bucket passes on a spanning forest, so a group of m
+   near copies costs m-1 pairs. These are verified on the whole sets. Where one fails,
+   the buckets of its documents are gone over again with count vectors of many more
+   groups: first a forest between what is not connected yet, at last every pair that
+   is left. So no link that matters to a component is lost.
 
 A-Z are lower-cased; words are parted by ASCII white space. A text with fewer than n
 words has its whole sequence as one shingle; a null or empty text has none and links
@@ -39,12 +39,13 @@ _U = np.uint64
 @dataclass(frozen=True)
 class Settings:
     """``percent``: least similarity; ``words`` of a shingle; ``groups`` of shingles
-    in a count vector; ``slots`` of the sketch, four bytes each; ``leaf``: points in
+    in a count vector, ``fine_groups`` in those of the later rounds; ``slots`` of the sketch, four bytes each; ``leaf``: points in
     a leaf of the tree."""
 
     percent: int = 90
     words: int = 3
     groups: int = 16
+    fine_groups: int = 256
     slots: int = 1 << 20
     leaf: int = 32
 
@@ -126,6 +127,24 @@ def _sketch(first: DataFrame, s: Settings) -> np.ndarray:
 _SECOND = "doc_id long, n int, f1 long, f2 long, tokens array<long>, point binary"
 
 
+def _points(values: np.ndarray, count: np.ndarray, groups: int) -> pa.Array:
+    """Count vectors: how many shingles of each text fall into each group."""
+    owner = np.repeat(np.arange(len(count)), count)
+    group = (mix(values ^ _U(0x2545F4914F6CDD1D)) % _U(groups)).astype(np.int64)
+    points = np.bincount(owner * groups + group, minlength=len(count) * groups)
+    return pa.array([p.tobytes() for p in points.astype("<u4").reshape(len(count), groups)], pa.binary())
+
+
+def _fine_points(s: Settings):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, chunk in pieces(batch):
+                values, count = sets(Words(chunk, True), s.words)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _points(values, count, s.fine_groups)], names=["doc_id", "point"])
+
+    return run
+
+
 def _second_pass(shared, s: Settings):
     """Prefix and count vector of each document."""
 
@@ -136,9 +155,6 @@ def _second_pass(shared, s: Settings):
                 values, count = sets(Words(chunk, True), s.words)
                 owner = np.repeat(np.arange(len(count)), count)
                 f1, f2 = _sums(mix(values), count), _sums(mix(values ^ _U(0x5DEECE66D5DEECE6)), count)
-                group = (mix(values ^ _U(0x2545F4914F6CDD1D)) % _U(s.groups)).astype(np.int64)
-                points = np.bincount(owner * s.groups + group, minlength=len(count) * s.groups)
-                points = points.astype("<u4").reshape(len(count), s.groups)
                 order = np.lexsort((values, sketch[(values & _U(s.slots - 1)).astype(np.int64)], owner))
                 length = np.where(count > 0, count + (-count * s.percent // 100) + 1, 0)
                 take = order[ranges(np.cumsum(count) - count, length)]
@@ -146,7 +162,7 @@ def _second_pass(shared, s: Settings):
                     [
                         part.column("doc_id"), pa.array(count, pa.int32()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
                         list_column(pa.array(values[take].view(np.int64)), length),
-                        pa.array([p.tobytes() for p in points], pa.binary()),
+                        _points(values, count, s.groups),
                     ],
                     names=["doc_id", "n", "f1", "f2", "tokens", "point"],
                 )
@@ -218,78 +234,81 @@ class _Forest:
         return a != b
 
 
-_PAIRS = "a long, b long, token long, doc_id long, n int, point binary"
-_PAIR_NAMES = ["a", "b", "token", "doc_id", "n", "point"]
+_PAIRS = "a long, b long, token long, doc_id long, n int"
+_PAIR_NAMES = ["a", "b", "token", "doc_id", "n"]
 
 
-def _bucket(docs, sizes, points, labels, s: Settings) -> tuple[list, bool]:
-    """Pairs to verify, and whether others were left out for a spanning forest.
-
-    With labels (components so far) nothing is left out but pairs of one label."""
+def _bucket(docs, sizes, points, labels, every: bool, s: Settings) -> tuple[list, bool]:
+    """Pairs to verify between documents of different labels (components so far): a
+    spanning forest, or ``every`` one. And whether the forest left pairs out."""
     tree = Tree(points, sizes, s.leaf)
-    forest, pairs, skipped = _Forest(len(docs)), [], False
+    forest, pairs, skipped = _Forest(int(labels.max()) + 1), [], False
     for k in range(len(docs)):
         near = tree.near(k, s.percent)
-        near = near[near < k]
-        if labels is not None:
-            near = near[labels[near] != labels[k]]
+        near = near[(near < k) & (labels[near] != labels[k])]
         for m in near.tolist():
-            if labels is not None or forest.join(k, m):
+            if every or forest.join(int(labels[k]), int(labels[m])):
                 pairs.append((int(docs[m]), int(docs[k])))
             else:
                 skipped = True
     return pairs, skipped
 
 
-def _buckets(s: Settings, labelled: bool):
-    """Over rows sorted by token and document: pairs, and rows of buckets to look at again."""
+def _buckets(s: Settings, labelled: bool, every: bool = False):
+    """Over rows sorted by token and document: pairs, and rows of buckets in which
+    pairs were left out. Without labels each document stands for itself."""
+
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        token = table["token"].to_numpy()
+        edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
+        size = np.diff(edge)
+        many = np.flatnonzero(size > 1)
+        if not len(many):
+            return
+        table = table.take(pa.array(ranges(edge[many], size[many])))
+        edge = np.concatenate([[0], np.cumsum(size[many])])
+        docs, sizes = table["doc_id"].to_numpy(), table["n"].to_numpy().astype(np.int64)
+        labels = table["label"].to_numpy() if labelled else docs
+        points = np.frombuffer(b"".join(table["point"].to_pylist()), "<u4").reshape(len(docs), -1)
+        pairs, again = [], []
+        # Buckets of two need no tree.
+        a = edge[:-1][size[many] == 2]
+        overlap = np.minimum(np.minimum(points[a], points[a + 1]).sum(axis=1), np.minimum(sizes[a], sizes[a + 1]))
+        a = a[(overlap * 100 >= s.percent * (sizes[a] + sizes[a + 1] - overlap)) & (labels[a] != labels[a + 1])]
+        pairs += zip(docs[a].tolist(), docs[a + 1].tolist())
+        for g in np.flatnonzero(size[many] > 2).tolist():
+            lo, hi = int(edge[g]), int(edge[g + 1])
+            own = np.unique(labels[lo:hi], return_inverse=True)[1]
+            found, skipped = _bucket(docs[lo:hi], sizes[lo:hi], points[lo:hi].astype(np.int64), own, every, s)
+            pairs += found
+            if skipped:
+                again.append((lo, hi))
+        pairs = sorted(set(pairs))
+        if pairs:
+            first, second = zip(*pairs)
+            n = len(first)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())],
+                names=_PAIR_NAMES,
+            )
+        for lo, hi in [] if labelled else again:
+            own, none = table.slice(lo, hi - lo).combine_chunks(), pa.nulls(hi - lo, pa.int64())
+            yield from pa.table([none, none, own["token"], own["doc_id"], own["n"]], names=_PAIR_NAMES).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-
-        def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            token = table["token"].to_numpy()
-            docs, sizes = table["doc_id"].to_numpy(), table["n"].to_numpy().astype(np.int64)
-            labels = table["label"].to_numpy() if labelled else None
-            edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
-            many = np.flatnonzero(np.diff(edge) > 1)
-            raw = table["point"]
-            pairs, again = [], []
-            for g in many.tolist():
-                lo, hi = int(edge[g]), int(edge[g + 1])
-                points = np.frombuffer(b"".join(raw.slice(lo, hi - lo).to_pylist()), "<u4").reshape(hi - lo, -1).astype(np.int64)
-                own, skipped = _bucket(docs[lo:hi], sizes[lo:hi], points, None if labels is None else labels[lo:hi], s)
-                pairs += own
-                if skipped:
-                    again.append((lo, hi))
-            pairs = sorted(set(pairs))
-            if pairs:
-                a, b = zip(*pairs)
-                n = len(a)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                    names=_PAIR_NAMES,
-                )
-            for lo, hi in again:
-                own = table.slice(lo, hi - lo).combine_chunks()
-                n = hi - lo
-                for batch in pa.table(
-                    [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), own["token"], own["doc_id"], own["n"], own["point"]], names=_PAIR_NAMES
-                ).to_batches():
-                    yield batch
-
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(batch)
             token = batch.column("token").to_numpy()
             cut = int(np.searchsorted(token, token[-1]))  # the last bucket may go on
-            if cut == 0 and token[0] == held[0].column("token")[-1].as_py() and len(held) > 1:
+            if held and cut == 0 and token[0] == held[-1].column("token")[0].as_py():
+                held.append(batch)
                 continue
-            if cut or len(held) > 1:
-                ready = [*held[:-1], batch.slice(0, cut)]
+            ready = [*held, batch.slice(0, cut)]
+            if sum(b.num_rows for b in ready):
                 yield from work(pa.Table.from_batches(ready))
-                held = [batch.slice(cut)]
+            held = [batch.slice(cut)]
         if held:
             yield from work(pa.Table.from_batches(held))
 
@@ -342,30 +361,30 @@ def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     entries = entries.repartition("token").sortWithinPartitions("token", "doc_id")
     found = store.written(entries.mapInArrow(_buckets(s, False), _PAIRS), "pairs")
     pairs = found.where("a is not null").select("a", "b").distinct()
-    again = found.where("a is null").select("token", "doc_id", "n", "point")
+    again = found.where("a is null").select("token", "doc_id", "n")
 
     needed = pairs.select("a").union(pairs.select("b")).union(again.select("doc_id")).distinct().toDF("_needed")
     texts = docs.join(needed, F.col("doc_id") == F.col("_needed"), "left_semi").dropDuplicates(["doc_id"])
     texts = store.written(texts, "texts")
     checked = _verified(pairs, texts, s)
-    links = checked.where("good").select("a", "b")
+    links, failed = checked.where("good").select("a", "b"), checked.where("not good").select("a", "b")
     roots = components(links)
 
-    failed = checked.where("not good")
-    if not again.isEmpty() and not failed.isEmpty():
+    if not failed.isEmpty() and not again.isEmpty():
         bad = failed.select("a").union(failed.select("b")).distinct().toDF("doc_id")
         tokens = again.join(bad, "doc_id", "left_semi").select("token").distinct()
-        label = F.coalesce("component", "doc_id").alias("label")
-        rest = (
-            again.join(tokens, "token", "left_semi")
-            .join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            .select("token", "doc_id", "n", "point", label)
-            .repartition("token").sortWithinPartitions("token", "doc_id")
-        )
-        more = rest.mapInArrow(_buckets(s, True), _PAIRS).where("a is not null").select("a", "b").distinct()
-        more = more.join(failed.select("a", "b"), ["a", "b"], "left_anti")
-        late = _verified(more, texts, s).where("good").select("a", "b")
-        roots = components(links.union(late))
+        open_ = again.join(tokens, "token", "left_semi")
+        fine = texts.join(open_.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_fine_points(s), "doc_id long, point binary")
+        open_ = store.written(open_.join(fine, "doc_id"), "open")
+        for every in (False, True):
+            label = F.coalesce("component", "doc_id").alias("label")
+            rows_ = open_.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("token", "doc_id", "n", "point", label)
+            rows_ = rows_.repartition("token").sortWithinPartitions("token", "doc_id")
+            more = rows_.mapInArrow(_buckets(s, True, every), _PAIRS).select("a", "b").distinct()
+            checked = _verified(more.join(failed, ["a", "b"], "left_anti"), texts, s)
+            links = links.union(checked.where("good").select("a", "b"))
+            failed = failed.union(checked.where("not good").select("a", "b"))
+            roots = components(links)
 
     known = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         *prints, F.coalesce("component", "rep").alias("_root")

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from fareweather.llm import store
+from fareweather.llm.marks import with_uid
 
 #: Kinds in their order and their forms. Possessive loops and the
 #: looks behind give the same matches as plain ones, in linear time and stack.
@@ -45,13 +46,6 @@ class Settings:
     token: int = 6
 
 
-def _with_uid(docs: DataFrame) -> DataFrame:
-    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    counts = docs.groupBy("doc_id").count().agg(F.max("count"), F.max(F.col("doc_id").isNull().cast("int"))).first()
-    unique = counts[0] is None or (counts[0] == 1 and counts[1] == 0)
-    return docs.withColumn("uid", F.coalesce("doc_id", F.lit(0)) if unique else F.xxhash64("doc_id", "text"))
-
-
 def _digits(hit: Column) -> Column:
     return F.regexp_replace(hit, "[^0-9]", "")
 
@@ -174,7 +168,7 @@ def _joined(array: Column) -> Column:
 def report(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): counts of the seeds, and the lists
     ``base`` and ``spans`` of kind:start:end, comma-joined."""
-    docs = _with_uid(docs)
+    docs = with_uid(docs)
     span = F.struct(_rank(F.col("kind")).alias("rank"), "start", "end", "kind", "base")
     found = spans(docs.select("uid", "text"), settings).groupBy("uid").agg(F.sort_array(F.collect_list(span)).alias("all"))
     none = F.lit([]).cast("array<struct<rank:bigint,start:bigint,end:bigint,kind:string,base:boolean>>")

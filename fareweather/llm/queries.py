@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fareweather.llm import decontamination, embeddings, language, ngram_join, packing, pii, store, substring_dedup, suffix_dedup, toxicity
+from fareweather.llm import decontamination, embeddings, language, language_model, ngram_join, packing, pii, store, substring_dedup, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -50,6 +50,14 @@ def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_copies(_table(spark, folder, "documents"))
 
 
+def op6_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = language.held_out(5, 1)
+    scored = language_model.score(_table(spark, folder, "documents"), ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
+
+
 def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.report(_table(spark, folder, "documents"))
     counts = [f"n_{kind}" for kind in pii.KINDS]
@@ -78,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_language": op4_language,
     "op5_ngram_join": op5_ngram_join,
+    "op6_language_model": op6_language_model,
     "op7_pii": op7_pii,
     "op8_embeddings": op8_embeddings,
     "op9_decontamination": op9_decontamination,
