@@ -1,11 +1,12 @@
 """Personal data: fixed forms as seeds, contexts learned from them find more.
 
 Seeds are e-mail addresses, IP addresses, card numbers and phone numbers of a fixed
-form. The word before a token with a digit or an at sign is its lexical pattern;
-patterns and tokens make a graph. A pattern is as sure of a kind as the share of its
-distinct tokens that are of that kind; sure patterns pass their confidence on to
-their other tokens, which raises other patterns, for some rounds. Tokens that follow
-a sure pattern are spans of its kind; spans of the seeds stay as they are.
+form. The word before a seed, or before another token with a digit or an at sign, is
+its lexical pattern; patterns and what follows them (instances) make a graph. A
+pattern is as sure of a kind as the share of its distinct instances that are of that
+kind; sure patterns pass their confidence on to their other instances, which raises
+other patterns, for some rounds. Tokens that follow a sure pattern are spans of its
+kind; spans of the seeds stay as they are.
 
 Everything is DataFrame functions: no Python runs on the executors. Positions are
 code points, ends exclusive. A null text is empty. Rows may share an id; each gives
@@ -37,7 +38,7 @@ TOKEN = r"(?<!\S)\S*[0-9@]\S*"
 @dataclass(frozen=True)
 class Settings:
     """``confidence`` and ``support``: least share and number of a pattern's distinct
-    tokens that are of a kind; ``rounds`` over the graph; ``token``: least length of
+    instances that are of a kind; ``rounds`` over the graph; ``token``: least length of
     a token that a pattern may add."""
 
     confidence: float = 0.8
@@ -118,13 +119,13 @@ def _entities(docs: DataFrame) -> DataFrame:
     after = F.first(F.when(seed, F.struct("start", "kind")), ignorenulls=True).over(later)
     rows = rows.withColumn("near", near).withColumn("after", after)
     own = F.when(F.col("near.end") > F.col("start"), F.col("near.kind")).when(F.col("after.start") < F.col("end"), F.col("after.kind"))
-    return rows.select("uid", "kind", "start", "end", "core", "pattern", F.when(token, own).alias("own"))
+    return rows.select("uid", "kind", "start", "end", "core", "pattern", F.when(token, own).otherwise(F.col("kind")).alias("own"))
 
 
 def _patterns(entities: DataFrame, s: Settings) -> DataFrame:
     """(pattern, found, confidence) of the sure patterns, after some rounds."""
     edges = store.written(
-        entities.where("kind = 'token' and pattern != ''")
+        entities.where("pattern != '' and (kind != 'token' or own is null)")
         .groupBy("pattern", "core").agg(F.max("own").alias("own")), "edges",
     )
     total = edges.groupBy("pattern").agg(F.count("*").alias("total"))
