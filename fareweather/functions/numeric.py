@@ -2,9 +2,11 @@
 
 Two choices matter for speed at scale. Rounding goes through ``rint`` instead of
 ``round``, whose double path builds a decimal object per value. Sums of money,
-distances and ratios run over scaled 64-bit integers instead of doubles or
-decimals: integer addition does not depend on the order of the rows, so a rerun
-task gives the same last digit, and an overflow raises instead of wrapping.
+distances and ratios run over two 64-bit integers, the value in units of 10^-4 and
+what is left of it in units of 10^-12, instead of doubles or decimals: integer
+addition does not depend on the order of the rows, so a rerun task gives the same
+last digit, and an overflow raises instead of wrapping. What no integer can hold
+(not-a-number, infinities, sizes from 10^9) is summed apart, as doubles.
 """
 
 from __future__ import annotations
@@ -27,17 +29,28 @@ def round_even(x: Column, digits: int) -> Column:
     return F.rint(x * scale) / scale
 
 
-def scaled(x: Column, digits: int = 4) -> Column:
-    """``x`` as a whole number of 10^-digits units."""
-    return F.rint(x * F.lit(float(10**digits))).cast("bigint")
+_COARSE, _FINE, _LARGE = 1e4, 1e12, 1e9
 
 
-def exact_sum(x: Column, digits: int = 4) -> Column:
-    return F.sum(scaled(x, digits)) / F.lit(float(10**digits))
+def _parts(x: Column) -> tuple[Column, Column, Column]:
+    """Units of 10^-4, what is left in units of 10^-12, and values apart from both."""
+    x = x.cast("double")
+    plain = F.when(F.abs(x) < _LARGE, x)
+    units = F.rint(plain * _COARSE)
+    rest = F.rint((plain - units / _COARSE) * _FINE)
+    return units.cast("bigint"), rest.cast("bigint"), F.when(F.abs(x) >= _LARGE, x)
+
 
+def exact_sum(x: Column) -> Column:
+    """Sum to 12 decimals, whatever the order; null without a value."""
+    units, rest, apart = _parts(x)
+    whole = F.coalesce(F.sum(units), F.lit(0)) / F.lit(_COARSE) + F.coalesce(F.sum(rest), F.lit(0)) / F.lit(_FINE)
+    total = whole + F.coalesce(F.sum(apart), F.lit(0.0))
+    return F.when(F.count(x) > 0, total)
 
-def exact_avg(x: Column, digits: int = 4) -> Column:
-    return F.try_divide(exact_sum(x, digits), F.count(x))
+
+def exact_avg(x: Column) -> Column:
+    return F.try_divide(exact_sum(x), F.count(x))
 
 
 def sum2(x: Column) -> Column:
@@ -48,22 +61,35 @@ def avg2(x: Column) -> Column:
     return round_half(exact_avg(x), 2)
 
 
-def _wide_product(x: Column, weight: Column, digits: int) -> Column:
-    # Weighted sums run over zone-hours, which are few, so the wider decimal
-    # type is affordable and cannot overflow at any realistic trip count.
-    return scaled(x, digits).cast("decimal(19,0)") * weight.cast("decimal(18,0)")
+def _weighted_sum(x: Column, weight: Column) -> Column:
+    """Sum of ``x * weight``: whole weights exactly, fractions of weights to 12 decimals.
+
+    Weighted sums run over zone-hours, which are few, so the wider decimal type is
+    affordable and cannot overflow at any realistic trip count.
+    """
+    units, rest, apart = _parts(x)
+    weight = weight.cast("double")
+    whole = F.floor(weight).cast("decimal(18,0)")
+    left = weight - F.floor(weight)
+    coarse = F.sum(units.cast("decimal(19,0)") * whole).cast("double") / F.lit(_COARSE)
+    fine = F.sum(rest.cast("decimal(19,0)") * whole).cast("double") / F.lit(_FINE)
+    zero = F.lit(0.0)
+    total = F.coalesce(coarse, zero) + F.coalesce(fine, zero) + F.coalesce(F.sum(apart * weight), zero)
+    finite_x = F.when(F.abs(x.cast("double")) < _LARGE, x.cast("double"))
+    total = total + F.coalesce(exact_sum(F.when(left > 0, finite_x * left)), zero)
+    return F.when(F.count(F.when(weight.isNotNull(), x)) > 0, total)
 
 
-def weighted_mean(x: Column, weight: Column, digits: int = 4) -> Column:
+def weighted_mean(x: Column, weight: Column) -> Column:
     """``sum(x*w)/sum(w)``: a null ``x`` leaves the numerator only."""
-    top = F.sum(_wide_product(x, weight, digits)).cast("double") / F.lit(float(10**digits))
-    return F.try_divide(top, F.sum(weight).cast("double"))
+    return F.try_divide(_weighted_sum(x, weight), exact_sum(weight))
 
 
-def strict_weighted_mean(x: Column, weight: Column, digits: int = 4) -> Column:
-    """Weighted mean whose both sums skip rows with a null or a weight <= 0."""
-    usable = x.isNotNull() & (weight > 0)
-    return weighted_mean(F.when(usable, x), F.when(usable, weight), digits)
+def strict_weighted_mean(x: Column, weight: Column) -> Column:
+    """Weighted mean whose both sums skip rows without a number or a weight > 0."""
+    x, weight = x.cast("double"), weight.cast("double")
+    usable = x.isNotNull() & ~F.isnan(x) & (weight > 0) & ~F.isnan(weight)
+    return weighted_mean(F.when(usable, x), F.when(usable, weight))
 
 
 def lift_pct(x: Column, base: Column) -> Column:

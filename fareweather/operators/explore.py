@@ -352,11 +352,13 @@ def map_values(
     placed = zones.withColumns({"map_id": key, metric: number}).dropna(subset=["map_id", metric])
     value = F.col(metric)
     if by_borough:
-        borough = W.partitionBy("pickup_borough")
-        whole = F.sum(F.rint(value * 1e4).cast("bigint")).over(borough) / 1e4
-        value = whole if total else whole / F.count(value).over(borough)
-        # A zone without a borough has no group to show.
-        value = F.when(F.col("pickup_borough").isNotNull(), value)
+        # A zone without a borough has no group to show, and joins none.
+        shown = (exact_sum if total else exact_avg)(value)
+        groups = placed.groupBy("pickup_borough").agg(shown.alias("_shown"))
+        groups = groups.withColumnRenamed("pickup_borough", "_borough")
+        placed = placed.join(groups, F.col("pickup_borough") == F.col("_borough"), "left")
+        placed = placed.withColumn("display_value", F.col("_shown")).drop("_borough", "_shown")
+        value = F.col("display_value")
     placed = placed.withColumn("display_value", value)
     shown = F.col("display_value")
     # greatest would turn a null into the 0.

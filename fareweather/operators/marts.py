@@ -26,11 +26,11 @@ from fareweather.sources.periods import Period
 
 # Result column -> (column of the zone-hour, decimals kept exactly in its sum).
 _WEIGHTED = {
-    "avg_duration": ("avg_trip_duration_minutes", 4),
-    "avg_trip_distance": ("avg_trip_distance", 4),
-    "avg_total_amount": ("avg_total_amount", 4),
-    "avg_tip_pct": ("avg_tip_percentage", 4),
-    "avg_minutes_per_mile": ("avg_minutes_per_mile", 8),
+    "avg_duration": "avg_trip_duration_minutes",
+    "avg_trip_distance": "avg_trip_distance",
+    "avg_total_amount": "avg_total_amount",
+    "avg_tip_pct": "avg_tip_percentage",
+    "avg_minutes_per_mile": "avg_minutes_per_mile",
 }
 
 # Measures compared with the baseline: result column -> name of its difference.
@@ -45,9 +45,8 @@ _DELTAS = {
 def _by_trips(names: list[str], digits: int) -> list[Column]:
     weight = F.col("total_trips")
     return [
-        round_half(weighted_mean(F.col(source), weight, exact), digits).alias(name)
+        round_half(weighted_mean(F.col(_WEIGHTED[name]), weight), digits).alias(name)
         for name in names
-        for source, exact in [_WEIGHTED[name]]
     ]
 
 

@@ -11,16 +11,16 @@ from __future__ import annotations
 import re
 
 
-def _total(x: str, digits: int = 4) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(18,{digits}))) AS DOUBLE)"
+def _total(x: str) -> str:
+    return f"CAST(sum(CAST({x} AS DECIMAL(38,12))) AS DOUBLE)"
 
 
 def _mean(x: str) -> str:
     return f"({_total(x)} / count({x}))"
 
 
-def _weighted(x: str, digits: int = 4, weight: str = "total_trips") -> str:
-    product = f"CAST(sum(CAST({x} AS DECIMAL(18,{digits})) * {weight}) AS DOUBLE)"
+def _weighted(x: str, weight: str = "total_trips") -> str:
+    product = f"CAST(sum(CAST({x} AS DECIMAL(18,10)) * CAST({weight} AS DECIMAL(18,0))) AS DOUBLE)"
     return f"({product} / nullif(CAST(sum({weight}) AS DOUBLE), 0))"
 
 
@@ -44,11 +44,11 @@ SELECT event_id % 3 + 1 AS VendorID,
   pu AS tpep_pickup_datetime,
   pu + secs * INTERVAL '1' SECOND AS tpep_dropoff_datetime,
   CASE WHEN k % 10 = 9 THEN NULL ELSE CAST(k % 9 AS DOUBLE) END AS passenger_count,
-  CAST(k AS DOUBLE) * 1.125 AS trip_distance,
+  CAST(k AS DOUBLE) / 7 AS trip_distance,
   CAST(k % 6 + 1 AS DOUBLE) AS RatecodeID,
   CASE WHEN k % 50 = 0 THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
-  CAST(user_id % 27 AS BIGINT) AS PULocationID,
-  CAST(event_id % 26 AS BIGINT) AS DOLocationID,
+  CAST(user_id % 28 AS BIGINT) AS PULocationID,
+  CAST(event_id % 27 AS BIGINT) AS DOLocationID,
   CAST(k % 5 AS BIGINT) AS payment_type,
   value - CAST(2 AS DOUBLE) AS fare_amount,
   CAST(k % 3 AS DOUBLE) AS extra,
@@ -73,8 +73,7 @@ _CTES["zones_in"] = """
 SELECT CAST(n_nationkey + 1 AS BIGINT) AS LocationID, r_name AS Borough, n_name AS Zone,
   CASE n_nationkey % 3 WHEN 0 THEN 'Yellow Zone' WHEN 1 THEN 'Boro Zone'
     ELSE 'Airports' END AS service_zone
-FROM nation JOIN region ON n_regionkey = r_regionkey
-WHERE n_nationkey < 24"""
+FROM nation JOIN region ON n_regionkey = r_regionkey"""
 
 _CTES["weather_in"] = """
 SELECT stamp AS weather_datetime, strftime(stamp, '%Y-%m-%d') AS pickup_date,
@@ -124,7 +123,7 @@ WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-01'
   AND trip_distance > 0 AND trip_distance <= 100
   AND trip_duration_minutes BETWEEN 1 AND 360
   AND fare_amount >= 0 AND tip_amount >= 0 AND total_amount > 0
-  AND PULocationID BETWEEN 1 AND 25 AND DOLocationID BETWEEN 1 AND 25"""
+  AND PULocationID BETWEEN 1 AND 26 AND DOLocationID BETWEEN 1 AND 26"""
 
 _CTES["facts"] = """
 SELECT VendorID AS vendor_id, tpep_pickup_datetime AS pickup_datetime,
@@ -190,17 +189,17 @@ FROM hourly_weather"""
 
 # Result column -> (column of the zone-hour, decimals).
 _WEIGHTED_COLUMNS = {
-    "avg_duration": ("avg_trip_duration_minutes", 4),
-    "avg_trip_distance": ("avg_trip_distance", 4),
-    "avg_total_amount": ("avg_total_amount", 4),
-    "avg_tip_pct": ("avg_tip_percentage", 4),
-    "avg_minutes_per_mile": ("avg_minutes_per_mile", 8),
+    "avg_duration": "avg_trip_duration_minutes",
+    "avg_trip_distance": "avg_trip_distance",
+    "avg_total_amount": "avg_total_amount",
+    "avg_tip_pct": "avg_tip_percentage",
+    "avg_minutes_per_mile": "avg_minutes_per_mile",
 }
 
 
 def _by_trips(names: list[str], digits: int) -> str:
     return ",\n  ".join(
-        f"round({_weighted(*_WEIGHTED_COLUMNS[name])}, {digits}) AS {name}" for name in names
+        f"round({_weighted(_WEIGHTED_COLUMNS[name])}, {digits}) AS {name}" for name in names
     )
 
 
@@ -407,7 +406,8 @@ _ZONE_METRICS = [
 
 def _strict(x: str, weight: str = "total_trips") -> str:
     usable = f"FILTER ({x} IS NOT NULL AND {weight} > 0)"
-    top = f"CAST(sum(CAST({x} AS DECIMAL(18,4)) * {weight}) {usable} AS DOUBLE)"
+    product = f"CAST({x} AS DECIMAL(18,10)) * CAST({weight} AS DECIMAL(18,0))"
+    top = f"CAST(sum({product}) {usable} AS DOUBLE)"
     return f"({top} / CAST(sum({weight}) {usable} AS DOUBLE))"
 
 
@@ -496,9 +496,9 @@ FROM (SELECT count(*) AS raw_rows,
     count(*) FILTER (fare_amount IS NULL OR fare_amount < 0) AS rejected_fare_amount,
     count(*) FILTER (tip_amount IS NULL OR tip_amount < 0) AS rejected_tip_amount,
     count(*) FILTER (total_amount IS NULL OR total_amount <= 0) AS rejected_total_amount,
-    count(*) FILTER (PULocationID IS NULL OR PULocationID NOT BETWEEN 1 AND 25)
+    count(*) FILTER (PULocationID IS NULL OR PULocationID NOT BETWEEN 1 AND 26)
       AS rejected_pickup_zone,
-    count(*) FILTER (DOLocationID IS NULL OR DOLocationID NOT BETWEEN 1 AND 25)
+    count(*) FILTER (DOLocationID IS NULL OR DOLocationID NOT BETWEEN 1 AND 26)
       AS rejected_dropoff_zone
   FROM timed) r, (SELECT count(*) AS cleaned_rows FROM clean) c"""
 
@@ -637,7 +637,7 @@ SELECT map_id, pickup_borough, demand_lift_pct, round(shown, 6) AS display_value
   round(shown, 6) AS map_color_value
 FROM (SELECT CAST(zone_id AS VARCHAR) AS map_id, pickup_borough, demand_lift_pct,
     CASE WHEN pickup_borough IS NOT NULL THEN
-      CAST(sum(CAST(demand_lift_pct AS DECIMAL(18,4))) OVER (PARTITION BY pickup_borough)
+      CAST(sum(CAST(demand_lift_pct AS DECIMAL(38,12))) OVER (PARTITION BY pickup_borough)
         AS DOUBLE) / count(*) OVER (PARTITION BY pickup_borough) END AS shown
   FROM elasticity WHERE weather_condition = 'heavy_rain' AND demand_lift_pct IS NOT NULL) placed"""
 _FINAL["map_domain"] = """

@@ -155,3 +155,30 @@ def test_half_up_matches_decimal_on_quarters(spark):
     got = values(spark, numeric.round_half(F.col("x"), 2), "x double", *[(n,) for n in numbers])
     want = [float(Decimal(n).quantize(Decimal("0.01"), ROUND_HALF_UP)) for n in numbers]
     assert got == want
+
+
+def test_sums_keep_twelve_decimals_and_any_order(spark):
+    values = [1.00004] * 3 + [1 / 7] * 500 + [123456.789012] * 7
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.repartition(5).agg(numeric.exact_sum(F.col("x")), numeric.exact_avg(F.col("x"))).first()
+    again = df.orderBy(F.desc("x")).agg(numeric.exact_sum(F.col("x")), numeric.exact_avg(F.col("x"))).first()
+    assert tuple(got) == tuple(again)
+    assert got[0] == pytest.approx(sum(values), abs=1e-8)
+    three = df.filter("x BETWEEN 1 AND 2").agg(numeric.exact_avg(F.col("x"))).first()[0]
+    assert three == 1.00004
+
+
+def test_sums_pass_on_what_is_not_finite(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([("a", nan), ("a", 1.0), ("b", inf), ("b", 2.0), ("c", 3.5e15), ("c", 0.5), ("d", None)], "k string, x double")
+    got = {r["k"]: r["s"] for r in df.groupBy("k").agg(numeric.exact_sum(F.col("x")).alias("s")).collect()}
+    assert got["a"] != got["a"] and got["b"] == inf and got["c"] == 3.5e15 + 0.5 and got["d"] is None
+
+
+def test_weighted_means_of_fractions_and_nan(spark):
+    df = spark.createDataFrame([(1.00004, 2.0), (3.0, 0.5), (float("nan"), 4.0), (None, 1.0)], "x double, w double")
+    x, w = F.col("x"), F.col("w")
+    got = df.agg(numeric.strict_weighted_mean(x, w).alias("m")).first()[0]
+    assert got == pytest.approx((2.00008 + 1.5) / 2.5, abs=1e-12)
+    loose = df.filter("x IS NULL OR x < 9").agg(numeric.weighted_mean(x, w)).first()[0]
+    assert loose == pytest.approx((2.00008 + 1.5) / 3.5, abs=1e-12)

@@ -75,7 +75,7 @@ def test_trip_ids_are_dense_and_stable(finished):
 def test_ordered_tables(finished):
     chain, _ = finished
     path = chain.layout.table("curated", "dim_location")
-    assert [r[0] for r in chain.spark.read.parquet(path).select("location_id").collect()] == list(range(1, 25))
+    assert [r[0] for r in chain.spark.read.parquet(path).select("location_id").collect()] == list(range(1, 26))
 
 
 def test_reports(finished):
