@@ -85,6 +85,8 @@ class ForestSettings:
     min_leaf: int = 5
     seed: int = 42
     max_bins: int = 512
+    # Of the training rows; part of the model's definition, not of the machine.
+    partitions: int = 64
 
 
 @dataclass(frozen=True)
@@ -98,6 +100,7 @@ class ClusterSettings:
     max_iter: int = 300
     tolerance: float = 1e-4
     parallel_fits: int = 8
+    partitions: int = 4
 
 
 @dataclass(frozen=True)

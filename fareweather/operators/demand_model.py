@@ -145,10 +145,17 @@ def fit_forest(train: DataFrame, settings: ForestSettings = ForestSettings()) ->
         checkpointInterval=10,
         maxMemoryInMB=1024,
     )
-    # The fit passes over these rows dozens of times, so they are spread over all
-    # cores first; the small input files alone would keep most of them idle.
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    points = ready.select("features", TARGET).repartition(cores).persist()
+    # The fit passes over these rows dozens of times, so they are spread first; the
+    # small input files alone would keep most cores idle. Which rows a tree draws
+    # follows from their partition and place, so both come from the rows' content
+    # and the settings, never from the machine.
+    points = (
+        ready.select("features", TARGET, F.xxhash64(*[F.col(c) for c in train.columns]).alias("_row"))
+        .repartition(settings.partitions, "_row")
+        .sortWithinPartitions("_row")
+        .select("features", TARGET)
+        .persist()
+    )
     try:
         model = forest.fit(points)
     finally:

@@ -6,12 +6,10 @@ ids, whatever the number of trips.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 
@@ -19,8 +17,8 @@ from fareweather.config import CLEAR, ClusterSettings, ProfileThresholds
 from fareweather.config import HIGH_LABEL, MEDIUM_LABEL
 from fareweather.functions.labels import group_profile
 from fareweather.functions.numeric import exact_avg, finite, round_even, round_half
-from fareweather.operators.lookups import BROADCAST_ROWS
 
+#: The model's input in its order.
 FEATURES = (
     "total_weather_trips",
     "total_weather_zone_hours",
@@ -55,7 +53,8 @@ def zone_features(
         .agg(
             F.sum("total_trips").alias("total_weather_trips"),
             F.sum("total_zone_hours").alias("total_weather_zone_hours"),
-            F.countDistinct("weather_condition").alias("weather_condition_count"),
+            # A zone has one row per condition.
+            F.count("weather_condition").alias("weather_condition_count"),
             _mean4("demand_lift_pct").alias("avg_demand_lift_pct"),
             round_half(F.max("demand_lift_pct"), 4).alias("max_demand_lift_pct"),
             _mean4("duration_delta_minutes").alias("avg_duration_delta_minutes"),
@@ -131,15 +130,19 @@ def model_input(zones: DataFrame, settings: ClusterSettings = ClusterSettings())
 def fit_clusters(ready: DataFrame, settings: ClusterSettings = ClusterSettings()) -> KMeansModel:
     """The best of several k-means starts by within-cluster cost.
 
-    ``ready`` is small, so it is cached in few partitions and the starts, which
-    are mostly job overhead, run side by side.
+    The starts, which are mostly job overhead, run side by side. What a start draws
+    follows from the partition and place of the points, so both come from the zone
+    ids and the settings.
     """
-    points = ready.select("features").coalesce(1).cache()
+    points = (
+        ready.select("zone_id", "features")
+        .repartition(settings.partitions, "zone_id")
+        .sortWithinPartitions("zone_id")
+        .select("features")
+        .persist()
+    )
     try:
-        rows = points.count()
-        if rows > BROADCAST_ROWS:
-            points = ready.select("features")
-        k = cluster_count(rows, settings)
+        k = cluster_count(points.count(), settings)
 
         def fit(start: int) -> KMeansModel:
             return KMeans(
@@ -279,53 +282,47 @@ def top_zones_by_cluster(clusters: DataFrame, n: int = 10, group: str = "cluster
     )
 
 
-#: Edge of the square blocks in which distances are measured.
-_BLOCK = 512
+def _distance(a: Column, b: Column) -> Column:
+    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
+    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, x: total + x))
 
 
-def silhouette(ready: DataFrame, chosen: DataFrame) -> DataFrame:
+def silhouette(ready: DataFrame, chosen: DataFrame, most: int = 10_000) -> DataFrame:
     """Exact mean silhouette with Euclidean distance; null for one cluster.
 
-    Zones are few, so all their points go to every task once, and each task
-    measures its own zones against them block by block: memory stays at one
-    block and no pairs are emitted.
+    Made for zones: a table of at most ``most`` points, which goes to every task as
+    one value; a larger one is an error, not a shorter answer. No pairs are emitted,
+    each point sums its distances on its own. For tables of any size there is
+    :func:`squared_silhouette`.
     """
-    points = ready.join(chosen, "zone_id").select("cluster_id", *FEATURES)
-    # One row per zone, bounded by the valid zone ids; checked all the same.
-    known = points.limit(BROADCAST_ROWS + 1).toPandas()
-    if len(known) > BROADCAST_ROWS:
-        raise ValueError("too many points to send to every task")
-    names, labels = np.unique(known["cluster_id"].to_numpy(), return_inverse=True)
-    sizes = np.bincount(labels)
-    if len(names) < 2:
-        empty = F.lit(None).cast("double").alias("silhouette_score")
-        return points.sparkSession.range(1).select(empty)
-    matrix = known[list(FEATURES)].to_numpy(dtype=float)
-    member = np.eye(len(names))[labels]
-
-    def widths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), _BLOCK):
-                yield pd.DataFrame({"width": block_widths(batch[at : at + _BLOCK])})
-
-    def block_widths(zones: pd.DataFrame) -> np.ndarray:
-        here = zones[list(FEATURES)].to_numpy(dtype=float)
-        own = np.searchsorted(names, zones["cluster_id"].to_numpy())
-        sums = np.zeros((len(here), len(names)))
-        for at in range(0, len(matrix), _BLOCK):
-            there = slice(at, at + _BLOCK)
-            gaps = np.linalg.norm(here[:, None, :] - matrix[None, there, :], axis=2)
-            sums += gaps @ member[there]
-        row = np.arange(len(here))
-        inside = sums[row, own] / np.maximum(sizes[own] - 1, 1)
-        means = sums / sizes
-        means[row, own] = np.inf
-        outside = means.min(axis=1)
-        larger = np.maximum(inside, outside)
-        # A zone alone in its cluster counts as 0.
-        usable = (sizes[own] > 1) & (larger > 0)
-        return np.where(usable, (outside - inside) / np.where(usable, larger, 1.0), 0.0)
-
-    return points.mapInPandas(widths, "width double").agg(
-        F.avg("width").alias("silhouette_score")
-    )
+    points = ready.join(chosen, "zone_id").select("cluster_id", F.array(*FEATURES).alias("at"))
+    few = points.limit(most + 1).groupBy("cluster_id").agg(F.sort_array(F.collect_list("at")).alias("all"))
+    groups = few.agg(F.sort_array(F.collect_list(F.struct("cluster_id", "all"))).alias("groups"))
+    size = F.aggregate(F.col("groups"), F.lit(0), lambda total, g: total + F.size(g["all"]))
+    checked = F.when(size > most, F.raise_error(F.lit("too many points to send to every task"))).otherwise(F.col("groups"))
+    placed = points.withColumn("groups", groups.select(checked.alias("groups")).scalar())
+
+    def mean(g: Column) -> Column:
+        own = g["cluster_id"] == F.col("cluster_id")
+        total = F.aggregate(g["all"], F.lit(0.0), lambda s, p: s + _distance(F.col("at"), p))
+        others = F.size(g["all"]) - F.when(own, 1).otherwise(0)
+        return F.struct(own.alias("own"), F.try_divide(total, others).alias("mean"))
+
+    means = placed.select(F.transform("groups", mean).alias("means"))
+    inside = F.element_at(F.filter("means", lambda m: m["own"]), 1)["mean"]
+    outside = F.array_min(F.transform(F.filter("means", lambda m: ~m["own"]), lambda m: m["mean"]))
+    larger = F.greatest(inside, outside)
+    # A zone alone in its cluster counts as 0; a single cluster has no score.
+    width = F.when(inside.isNull() | (larger == 0), 0.0).otherwise((outside - inside) / larger)
+    widths = means.select(F.when(outside.isNotNull(), width).alias("width"))
+    return widths.agg(F.avg("width").alias("silhouette_score"))
+
+
+def squared_silhouette(ready: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Mean silhouette with squared distances, in time linear in the points."""
+    points = ready.join(chosen, "zone_id").select("features", "cluster_id")
+    spark = points.sparkSession
+    if points.select("cluster_id").distinct().count() < 2:
+        return spark.range(1).select(F.lit(None).cast("double").alias("squared_silhouette_score"))
+    score = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id").evaluate(points)
+    return spark.range(1).select(F.lit(score).alias("squared_silhouette_score"))

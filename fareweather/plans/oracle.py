@@ -707,6 +707,21 @@ SELECT pickup_date, pickup_hour, pickup_borough, pickup_zone, weather_condition,
   predicted_total_trips, absolute_error
 FROM guesses ORDER BY pickup_date, pickup_hour, pickup_location_id LIMIT 100"""
 
+_CTES["borough_points"] = """
+SELECT zone_id, pickup_borough AS b, ifnull(avg_demand_lift_pct, 0) AS x,
+  ifnull(avg_duration_delta_minutes, 0) AS y
+FROM features"""
+_CTES["borough_gaps"] = """
+SELECT zone_id, max(CASE WHEN b = other AND n > 1 THEN total / (n - 1) END) AS inside,
+  min(CASE WHEN b <> other THEN total / n END) AS outside
+FROM (SELECT p.zone_id, p.b, q.b AS other, count(*) AS n,
+    sum(sqrt((p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y))) AS total
+  FROM borough_points p, borough_points q GROUP BY ALL) distances
+GROUP BY zone_id"""
+_FINAL["borough_silhouette"] = """
+SELECT round(avg(CASE WHEN inside IS NULL OR greatest(inside, outside) = 0 THEN 0
+  ELSE (outside - inside) / greatest(inside, outside) END), 6) AS silhouette_score
+FROM borough_gaps WHERE outside IS NOT NULL"""
 _FINAL["zone_features"] = "SELECT * FROM features"
 _FINAL["clip_features"] = "SELECT zone_id, {} FROM numbers, (SELECT {} FROM numbers) ends".format(
     ", ".join(f"round(least(greatest({c}, low_{c}), high_{c}), 6) AS {c}" for c in _FEATURES),

@@ -220,6 +220,17 @@ def standardized(t: Tables) -> DataFrame:
     return _rounded(zones.select("zone_id", *zone_model.FEATURES), *zone_model.FEATURES)
 
 
+def borough_silhouette(t: Tables) -> DataFrame:
+    """The exact silhouette of the boroughs as clusters, over two features as they are."""
+    zones = zone_model.numeric_features(t.published_features)
+    named = {f: F.col(f) if f in BOROUGH_FEATURES else F.lit(0.0) for f in zone_model.FEATURES}
+    chosen = zones.select("zone_id", F.col("pickup_borough").alias("cluster_id"))
+    return _rounded(zone_model.silhouette(zones.withColumns(named), chosen), "silhouette_score")
+
+
+#: Features that the silhouette of the boroughs looks at.
+BOROUGH_FEATURES = ("avg_demand_lift_pct", "avg_duration_delta_minutes")
+
 QUERIES: dict[str, Query] = {
     # sources
     "scan_trips": lambda t: t.raw,
@@ -316,17 +327,29 @@ QUERIES: dict[str, Query] = {
     ),
     "cluster_distribution": lambda t: explore.cluster_distribution(t.clusters),
     "cluster_top_zones": cluster_top_zones,
+    "borough_silhouette": borough_silhouette,
     "silhouette": lambda t: zone_model.silhouette(
         t.model_input, t.clusters.select("zone_id", "cluster_id")
     ),
 }
 
-_known: dict[tuple[str, str], Tables] = {}
+_known: dict[tuple, Tables] = {}
+
+
+def _stamp(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the folder's files, so that new data is seen."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        file = files.next()
+        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def tables(spark: SparkSession, folder: str) -> Tables:
-    """One chain of tables per session and folder."""
-    key = (spark.sparkContext.applicationId, folder)
+    """One chain of tables per session and state of a folder."""
+    key = (spark.sparkContext.applicationId, folder, _stamp(spark, folder))
     if key not in _known:
         _known[key] = Tables(spark, folder)
     return _known[key]

@@ -7,6 +7,7 @@ so all queries built on it grow with the data.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -135,6 +136,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str, settings: Settings = SETTINGS):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.run = uuid.uuid4().hex
         self.settings = settings
         self.period = Period.of(settings.months)
         self.zone_range = settings.limits.zones
@@ -249,10 +251,9 @@ class Tables:
         )
 
     def _publish(self, name: str, df: DataFrame) -> str:
-        """Write a table of the chain to the shared folder."""
-        scale = self.folder.rsplit("/", 1)[-1]
+        """Write a table of the chain to the shared folder, below this object's own id."""
         app = self.spark.sparkContext.applicationId
-        return writers.write_table(df, f"{shared_folder(self.spark)}/{app}/{scale}/{name}")
+        return writers.write_table(df, f"{shared_folder(self.spark)}/{app}/{self.run}/{name}")
 
     @cached_property
     def published_clean(self) -> str:

@@ -178,6 +178,27 @@ def test_clusters_and_silhouette(spark):
         quality.check_clusters(clusters.filter("cluster_id = 0"))
 
 
+def test_same_clusters_and_forest_for_any_layout(spark):
+    """What a machine with other cores would give: input in other partitions."""
+    df = zones(spark)
+    settings = ClusterSettings(starts=2)
+    ready = zone_model.model_input(df, settings).persist()
+
+    def chosen(points):
+        model = zone_model.fit_clusters(points, settings)
+        return sorted(map(tuple, model.transform(points).select("zone_id", "cluster_id").collect()))
+
+    assert chosen(ready.repartition(2)) == chosen(ready.repartition(7).orderBy(F.desc("zone_id")))
+
+
+def test_too_many_points_are_an_error(spark):
+    ready = zone_model.model_input(zones(spark))
+    chosen = ready.select("zone_id", (F.col("zone_id") % 2).cast("int").alias("cluster_id"))
+    with pytest.raises(Exception, match="too many points"):
+        zone_model.silhouette(ready, chosen, most=5).collect()
+    assert -1 <= zone_model.squared_silhouette(ready, chosen).first()[0] <= 1
+
+
 def test_silhouette_edge_cases(spark):
     ready = zones(spark, 5)
     one = ready.select("zone_id", F.lit(0).alias("cluster_id"))

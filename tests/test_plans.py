@@ -69,6 +69,7 @@ CHECKED = [
     "map_values",
     "mean_baseline",
     "zone_features",
+    "borough_silhouette",
 ]
 
 
@@ -81,3 +82,19 @@ def test_no_python_and_no_cross_join(spark, small, name):
 
 def test_schema_is_declared(raw):
     assert raw.schema.fieldNames() == schemas.RAW_TRIPS.fieldNames()
+
+
+def test_two_folders_of_one_name_and_rewritten_input(spark, small, tmp_path):
+    """Published tables of one chain never replace what another reads."""
+    import shutil
+
+    first = Tables(spark, small).published_hours
+    count = first.count()
+    other = tmp_path / "sf0.001"
+    shutil.copytree(small, other)
+    one, two = Tables(spark, str(other)), Tables(spark, str(other))
+    assert one.published_hours.count() == two.published_hours.count() == first.count() == count
+    seen = tables(spark, str(other))
+    assert tables(spark, str(other)) is seen
+    (other / "extra.parquet").write_bytes((other / "region.parquet").read_bytes())
+    assert tables(spark, str(other)) is not seen
