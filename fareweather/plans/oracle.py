@@ -463,11 +463,12 @@ SELECT LocationID AS location_id, Borough AS borough, Zone AS zone, service_zone
 _FINAL["weather_decode"] = "SELECT * FROM weather_in"
 _FINAL["zone_shape_keys"] = """
 SELECT c_name AS name, CASE
-  WHEN c_custkey % 5 = 4 THEN
-    CASE WHEN c_custkey % 8 <> 6 AND c_custkey > 0 THEN CAST(c_custkey * 10 AS VARCHAR) END
+  WHEN c_custkey % 10 IN (4, 6) THEN
+    CASE WHEN c_custkey % 8 <> 6 THEN CAST(c_custkey * 10 AS VARCHAR)
+      WHEN c_custkey % 10 = 4 THEN '' ELSE '0' END
   WHEN c_custkey % 8 = 7 THEN NULL
-  WHEN c_custkey % 5 = 2 THEN 'A' || c_custkey
-  WHEN c_custkey > 0 THEN CAST(c_custkey AS VARCHAR) END AS map_id
+  ELSE CASE c_custkey % 10 WHEN 2 THEN 'A' || c_custkey WHEN 5 THEN '0' WHEN 7 THEN c_custkey || 'd'
+    WHEN 8 THEN 'false' WHEN 9 THEN ' ' ELSE CAST(c_custkey AS VARCHAR) END END AS map_id
 FROM customer"""
 
 _FINAL["trip_duration"] = """

@@ -73,7 +73,7 @@ def weather_decode(t: Tables) -> DataFrame:
 def zone_shape_keys(t: Tables) -> DataFrame:
     shapes = t.shape_documents.select(F.from_json("document", schemas.ZONE_SHAPES).alias("shape"))
     keys = readers.zone_shape_keys(shapes.select("shape.*"))
-    return keys.select(F.col("properties")["name"].alias("name"), "map_id")
+    return keys.select(F.col("properties")["name"].cast("string").alias("name"), "map_id")
 
 
 def trip_id(t: Tables) -> DataFrame:

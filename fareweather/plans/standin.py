@@ -227,27 +227,23 @@ class Tables:
         """GeoJSON documents of 100 customers each, keyed in various ways."""
         names = F.array(*[F.lit(n) for n in (*readers.ZONE_KEY_NAMES, "other")])
         key = F.col("c_custkey")
-        text = key.cast("string")
-        value = (
-            F.when(key % 5 == 0, text)
-            .when(key % 5 == 1, F.concat(text, F.lit(".0")))
-            .when(key % 5 == 2, F.concat(F.lit("A"), text))
-            .when(key % 5 == 3, F.concat(text, F.lit(".75")))
-            .otherwise("")
-        )
-        own = F.create_map(
-            F.lit("name"), F.col("c_name"), F.element_at(names, (key % 8 + 1).cast("int")), value
-        )
-        spare = F.create_map(F.lit("objectid"), (key * 10).cast("string"))
-        with_spare = (key % 5 == 4) & (key % 8 != 6)
-        properties = F.when(with_spare, F.map_concat(own, spare)).otherwise(own)
-        document = F.struct(
-            F.collect_list(F.struct(properties.alias("properties"))).alias("features")
-        )
+        text, kind = key.cast("string"), key % 10
+        quoted = {0: "{}", 2: "A{}", 4: "", 5: "0", 7: "{}d", 8: "false", 9: " "}
+        value = F.when(kind == 1, F.concat(text, F.lit(".0"))).when(kind == 3, F.concat(text, F.lit(".75")))
+        value = value.when(kind == 6, "0.00")
+        for k, form in quoted.items():
+            value = value.when(kind == k, F.concat(F.lit('"'), F.replace(F.lit(form), F.lit("{}"), text), F.lit('"')))
+        name = F.element_at(names, (key % 8 + 1).cast("int"))
+        own = F.concat(F.lit('"name":"'), F.col("c_name"), F.lit('","'), name, F.lit('":'), value)
+        spare = F.concat(F.lit(',"objectid":'), (key * 10).cast("string"))
+        with_spare = kind.isin(4, 6) & (key % 8 != 6)
+        properties = F.concat(own, F.when(with_spare, spare).otherwise(""))
+        feature = F.concat(F.lit('{"properties":{'), properties, F.lit("}}"))
+        document = F.concat(F.lit('{"features":['), F.array_join(F.collect_list(feature), ","), F.lit("]}"))
         return (
             self.given("customer")
             .groupBy(F.floor(key / 100).alias("sheet"))
-            .agg(F.to_json(document).alias("document"))
+            .agg(document.alias("document"))
         )
 
     def _publish(self, name: str, df: DataFrame) -> str:

@@ -115,24 +115,45 @@ ZONE_KEY_NAMES = (
 )
 
 
+_NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def normal_key(text: Column) -> Column:
     """Numeric text to whole-number text, other text unchanged."""
-    return F.coalesce(text.try_cast("double").try_cast("bigint").cast("string"), text)
+    number = F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
+    return F.coalesce(number.try_cast("bigint").cast("string"), text)
+
+
+def _filled(value: Column) -> Column:
+    """Whether a JSON value counts as given: zero, false and empty ones do not."""
+    kind = F.schema_of_variant(value)
+    text = F.try_variant_get(value, "$", "string")
+    return (
+        F.when(kind == "STRING", text != "")
+        .when(kind == "BOOLEAN", text == "true")
+        .when(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.try_variant_get(value, "$", "double") != 0)
+        .when(kind == "VOID", False)
+        .otherwise(~text.isin("{}", "[]"))
+    )
+
+
+def _text(value: Column) -> Column:
+    text = F.try_variant_get(value, "$", "string")
+    return F.when(F.schema_of_variant(value) == "BOOLEAN", F.initcap(text)).otherwise(text)
 
 
 def zone_shape_keys(shapes: DataFrame) -> DataFrame:
     """One normal zone key per feature of a GeoJSON document.
 
-    Only the properties are read; the polygons, by far the largest part, are
-    left out of the declared schema. A zero never is a zone id, as number or as
-    text, so the next property is tried.
+    Only the properties are read, with their JSON types; the polygons, by far the
+    largest part, are left out of the declared schema. The first property that is
+    filled names the zone; if none is, the last one does as it stands.
     """
     properties = shapes.select(F.explode("features.properties").alias("properties"))
-    filled = [
-        F.when(~F.trim(F.col("properties")[name]).isin("", "0", "0.0", "false"), F.col("properties")[name])
-        for name in ZONE_KEY_NAMES
-    ]
-    key = normal_key(F.coalesce(*filled))
+    values = [F.col("properties")[name] for name in ZONE_KEY_NAMES]
+    texts = [_text(value) for value in values]
+    filled = [F.when(_filled(value), text) for value, text in zip(values, texts)]
+    key = normal_key(F.coalesce(*filled, texts[-1]))
     return properties.select(key.alias("map_id"), "properties")
 
 

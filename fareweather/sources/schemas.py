@@ -54,11 +54,11 @@ WEATHER_PAYLOAD = _struct(
         time=T.ArrayType(_TEXT),
         **{name: T.ArrayType(kind) for name, kind in WEATHER_MEASURES.items()},
     ),
-    hourly_units=T.MapType(_TEXT, _TEXT),
+    hourly_units=T.MapType(_TEXT, T.VariantType()),
 )
 
 HOURLY_WEATHER = _struct(
     weather_datetime=_NTZ, pickup_date=_TEXT, pickup_hour=T.IntegerType(), **WEATHER_MEASURES
 )
 
-ZONE_SHAPES = _struct(features=T.ArrayType(_struct(properties=T.MapType(_TEXT, _TEXT))))
+ZONE_SHAPES = _struct(features=T.ArrayType(_struct(properties=T.MapType(_TEXT, T.VariantType()))))

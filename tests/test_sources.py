@@ -91,6 +91,14 @@ def test_zone_shapes(spark, tmp_path):
         {"LocationID": 0, "objectid": "10"},
         {"LocationId": "A1"},
         {"name": "nowhere"},
+        {"LocationID": "0", "objectid": 5},
+        {"LocationID": " ", "objectid": 5},
+        {"LocationID": "false"},
+        {"LocationID": 0.00, "location_id": False, "objectid": 3},
+        {"LocationID": "12d"},
+        {"LocationID": None, "location_i": True},
+        {"LocationID": {}, "objectid": 0},
+        {"LocationID": " -3.9 "},
     ]
     document = {
         "type": "FeatureCollection",
@@ -101,7 +109,8 @@ def test_zone_shapes(spark, tmp_path):
     path = tmp_path / "shapes.geojson"
     path.write_text(json.dumps(document, indent=1))
     keys = [r["map_id"] for r in readers.read_zone_shapes(spark, str(path)).collect()]
-    assert keys == ["7", "8", "9", "10", "A1", None]
+    assert keys[:6] == ["7", "8", "9", "10", "A1", None]
+    assert keys[6:] == ["0", " ", "false", "3", "12d", "True", "0", "-3"]
     assert readers.read_zone_shapes(spark, str(tmp_path / "none.geojson")) is None
 
 
