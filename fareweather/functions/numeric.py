@@ -53,6 +53,25 @@ def exact_avg(x: Column) -> Column:
     return F.try_divide(exact_sum(x), F.count(x))
 
 
+def sum_state(name: str) -> list[Column]:
+    """Aggregates that hold an exact sum of a column and can be summed on."""
+    x = F.col(name)
+    units, rest, apart = _parts(x)
+    parts = {"units": F.sum(units), "rest": F.sum(rest), "apart": F.sum(apart), "count": F.count(x)}
+    return [part.alias(f"{name}_{part_name}") for part_name, part in parts.items()]
+
+
+def state_sum(name: str) -> Column:
+    """As :func:`exact_sum` of the column whose :func:`sum_state` is given, to the bit."""
+    units, rest, apart, count = [F.sum(f"{name}_{part}") for part in ("units", "rest", "apart", "count")]
+    whole = F.coalesce(units, F.lit(0)) / F.lit(_COARSE) + F.coalesce(rest, F.lit(0)) / F.lit(_FINE)
+    return F.when(count > 0, whole + F.coalesce(apart, F.lit(0.0)))
+
+
+def state_avg(name: str) -> Column:
+    return F.try_divide(state_sum(name), F.sum(f"{name}_count"))
+
+
 def sum2(x: Column) -> Column:
     return round_half(exact_sum(x), 2)
 

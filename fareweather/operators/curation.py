@@ -7,10 +7,10 @@ and the lookup is joined to the few result rows instead of to every trip.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from fareweather.config import CleaningLimits
-from fareweather.functions.numeric import avg2, sum2
+from fareweather.functions.numeric import round_half, state_avg, state_sum, sum_state
 from fareweather.functions.timing import day_name, is_weekend
 from fareweather.operators.lookups import attach_zone, bounded
 
@@ -96,27 +96,55 @@ def numbered(spark: SparkSession, path: str, id_column: str = "trip_id") -> Data
     return place.join(starts, "_file").select(number.alias(id_column), *rows.columns)
 
 
+_SUMMED = (
+    "trip_distance",
+    "trip_duration_minutes",
+    "total_amount",
+    "tip_amount",
+    "tip_percentage",
+    "average_speed_mph",
+)
+
+
+def trip_state(trips: DataFrame) -> DataFrame:
+    """Exact sums of the trips of each date, hour and pickup zone.
+
+    The one pass over trips that the hourly, zone and daily totals share: the sums
+    are integers, so totals of totals are equal to totals of trips to the bit.
+    """
+    return trips.groupBy("pickup_date", "pickup_hour", "pickup_location_id").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum("passenger_count").alias("passengers"),
+        F.min("pickup_datetime").alias("first_pickup"),
+        F.max("pickup_datetime").alias("last_pickup"),
+        *[part for name in _SUMMED for part in sum_state(name)],
+    )
+
+
 def _trip_measures(speed: bool) -> list:
+    def mean(name: str, out: str) -> Column:
+        return round_half(state_avg(name), 2).alias(out)
+
     measures = [
-        F.count(F.lit(1)).alias("total_trips"),
-        F.sum("passenger_count").alias("total_passengers"),
-        avg2(F.col("trip_distance")).alias("avg_trip_distance"),
-        avg2(F.col("trip_duration_minutes")).alias("avg_trip_duration_minutes"),
-        sum2(F.col("total_amount")).alias("total_revenue"),
-        avg2(F.col("total_amount")).alias("avg_total_amount"),
-        sum2(F.col("tip_amount")).alias("total_tip"),
-        avg2(F.col("tip_percentage")).alias("avg_tip_percentage"),
+        F.sum("trips").alias("total_trips"),
+        F.sum("passengers").alias("total_passengers"),
+        mean("trip_distance", "avg_trip_distance"),
+        mean("trip_duration_minutes", "avg_trip_duration_minutes"),
+        round_half(state_sum("total_amount"), 2).alias("total_revenue"),
+        mean("total_amount", "avg_total_amount"),
+        round_half(state_sum("tip_amount"), 2).alias("total_tip"),
+        mean("tip_percentage", "avg_tip_percentage"),
     ]
     if speed:
-        measures.append(avg2(F.col("average_speed_mph")).alias("avg_speed_mph"))
+        measures.append(mean("average_speed_mph", "avg_speed_mph"))
     return measures
 
 
 def hourly_demand(
-    trips: DataFrame, zones: DataFrame, zone_range: tuple[int, int] | None = ZONE_RANGE
+    state: DataFrame, zones: DataFrame, zone_range: tuple[int, int] | None = ZONE_RANGE
 ) -> DataFrame:
-    """One row per date, hour and pickup zone."""
-    grouped = trips.groupBy("pickup_date", "pickup_hour", "pickup_location_id").agg(
+    """One row per date, hour and pickup zone, from :func:`trip_state`."""
+    grouped = state.groupBy("pickup_date", "pickup_hour", "pickup_location_id").agg(
         *_trip_measures(speed=True)
     )
     named = attach_zone(grouped, zones, "pickup_location_id", "pickup", zone_range)
@@ -141,13 +169,13 @@ def hourly_demand(
 
 
 def zone_summary(
-    trips: DataFrame, zones: DataFrame, zone_range: tuple[int, int] | None = ZONE_RANGE
+    state: DataFrame, zones: DataFrame, zone_range: tuple[int, int] | None = ZONE_RANGE
 ) -> DataFrame:
-    """One row per pickup zone."""
-    grouped = trips.groupBy("pickup_location_id").agg(
+    """One row per pickup zone, from :func:`trip_state`."""
+    grouped = state.groupBy("pickup_location_id").agg(
         *_trip_measures(speed=True),
-        F.min("pickup_datetime").alias("first_pickup_datetime"),
-        F.max("pickup_datetime").alias("last_pickup_datetime"),
+        F.min("first_pickup").alias("first_pickup_datetime"),
+        F.max("last_pickup").alias("last_pickup_datetime"),
     )
     named = attach_zone(grouped, zones, "pickup_location_id", "pickup", zone_range, True)
     return named.select(
@@ -169,10 +197,10 @@ def zone_summary(
     )
 
 
-def daily_summary(trips: DataFrame) -> DataFrame:
-    """One row per date."""
+def daily_summary(state: DataFrame) -> DataFrame:
+    """One row per date, from :func:`trip_state`."""
     return (
-        trips.groupBy("pickup_date")
+        state.groupBy("pickup_date")
         .agg(*_trip_measures(speed=False))
         .select(
             "pickup_date",

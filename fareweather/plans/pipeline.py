@@ -139,14 +139,16 @@ class Chain:
         fact_path = self.layout.table("curated", "fact_trips")
         facts.write.mode("overwrite").parquet(fact_path)
 
+        # One pass over the trips; all totals start from its sums.
         trips = curation.canonical_trips(self._table("processed", "clean_trips"))
+        state = self._publish(curation.trip_state(trips), "processed", "trip_state")
         tables = {
             "dim_location": self._publish(
                 curation.dim_location(self.zones), "curated", "dim_location", "location_id"
             ),
             "fact_trips": self.spark.read.parquet(fact_path),
             "agg_hourly_demand": self._publish(
-                curation.hourly_demand(trips, self.zones, zone_range),
+                curation.hourly_demand(state, self.zones, zone_range),
                 "curated",
                 "agg_hourly_demand",
                 "pickup_date",
@@ -154,13 +156,13 @@ class Chain:
                 F.desc("total_trips"),
             ),
             "agg_zone_summary": self._publish(
-                curation.zone_summary(trips, self.zones, zone_range),
+                curation.zone_summary(state, self.zones, zone_range),
                 "curated",
                 "agg_zone_summary",
                 F.desc("total_trips"),
             ),
             "agg_daily_summary": self._publish(
-                curation.daily_summary(trips), "curated", "agg_daily_summary", "pickup_date"
+                curation.daily_summary(state), "curated", "agg_daily_summary", "pickup_date"
             ),
         }
         quality.check_tables(tables)
@@ -259,6 +261,8 @@ class Chain:
         rows = demand_model.training_rows(
             self._table("curated", "agg_hourly_demand_weather"), self.settings.conditions
         )
+        # The encoder, the fit, both predictions and the reports read the rows again.
+        rows = self._publish(rows, "ml", "demand_training_rows")
         train, test = demand_model.time_split(rows, self.settings.split_date)
         demand_model.require_both(train, test)
         model = demand_model.fit_forest(train, self.settings.forest)
@@ -288,6 +292,7 @@ class Chain:
         settings = self.settings
         elasticity = self._table("curated", "zone_weather_elasticity")
         zones = zone_model.zone_features(elasticity, settings.min_zone_trips)
+        zones = self._publish(zones, "ml", "zone_features")
         quality.not_empty(zones, "zone features")
         ready = zone_model.model_input(zones, settings.clusters)
         model = zone_model.fit_clusters(ready, settings.clusters)

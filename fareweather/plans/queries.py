@@ -179,9 +179,9 @@ def table_counts(t: Tables) -> DataFrame:
     return quality.table_counts(
         {
             "fact_trips": curation.fact_trips(clean, t.zones, t.zone_range),
-            "agg_hourly_demand": curation.hourly_demand(trips, t.zones, t.zone_range),
-            "agg_zone_summary": curation.zone_summary(trips, t.zones, t.zone_range),
-            "agg_daily_summary": curation.daily_summary(trips),
+            "agg_hourly_demand": curation.hourly_demand(t.published_state, t.zones, t.zone_range),
+            "agg_zone_summary": curation.zone_summary(t.published_state, t.zones, t.zone_range),
+            "agg_daily_summary": curation.daily_summary(t.published_state),
             "agg_hourly_demand_weather": t.published_hours,
             "daily_zone_metrics": marts.daily_zone_metrics(enriched),
             "hourly_demand_summary_weather": marts.hourly_summary(enriched),

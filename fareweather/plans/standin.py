@@ -164,21 +164,25 @@ class Tables:
     def trips(self) -> DataFrame:
         return curation.canonical_trips(self.clean)
 
+    @cached_property
+    def state(self) -> DataFrame:
+        return curation.trip_state(self.trips)
+
     @cached_property
     def facts(self) -> DataFrame:
         return curation.fact_trips(self.clean, self.zones, self.zone_range)
 
     @cached_property
     def hourly(self) -> DataFrame:
-        return curation.hourly_demand(self.trips, self.zones, self.zone_range)
+        return curation.hourly_demand(self.state, self.zones, self.zone_range)
 
     @cached_property
     def zone_totals(self) -> DataFrame:
-        return curation.zone_summary(self.trips, self.zones, self.zone_range)
+        return curation.zone_summary(self.state, self.zones, self.zone_range)
 
     @cached_property
     def daily(self) -> DataFrame:
-        return curation.daily_summary(self.trips)
+        return curation.daily_summary(self.state)
 
     @cached_property
     def hourly_weather(self) -> DataFrame:
@@ -255,6 +259,12 @@ class Tables:
     def published_clean(self) -> str:
         return self._publish("clean_trips", self.clean)
 
+    @cached_property
+    def published_state(self) -> DataFrame:
+        """Sums of the published trips by hour and zone, as all totals read them."""
+        trips = curation.canonical_trips(self.spark.read.parquet(self.published_clean))
+        return self.spark.read.parquet(self._publish("trip_state", curation.trip_state(trips)))
+
     @cached_property
     def published_hours(self) -> DataFrame:
         """Zone-hours with weather as interactive queries read them."""

@@ -43,7 +43,7 @@ def lookup(spark):
 
 def hourly(spark, lookup, *changes):
     clean = clean_trips(trips(spark, *changes), JANUARY)
-    return curation.hourly_demand(curation.canonical_trips(clean), lookup)
+    return curation.hourly_demand(curation.trip_state(curation.canonical_trips(clean)), lookup)
 
 
 def enriched(spark, rows):
@@ -153,7 +153,7 @@ def test_trips_are_kept_by_every_aggregate(spark, small):
     t = Tables(spark, small)
     n = t.clean.count()
     total = lambda df, c="total_trips": df.agg(F.sum(c)).first()[0]
-    assert n == 433
+    assert n == 487
     assert total(t.hourly) == total(t.zone_totals) == total(t.daily) == n
     assert total(t.hourly_weather) == total(t.impact) == total(t.elasticity) == n
     assert total(marts.daily_zone_metrics(t.enriched), "trip_count") == n

@@ -1,8 +1,9 @@
 """What the physical plans must and must not contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from fareweather.operators import cleaning
+from fareweather.operators import cleaning, curation
 from fareweather.plans.queries import QUERIES, tables
 from fareweather.plans.standin import Tables
 from fareweather.sources import readers, schemas
@@ -48,6 +49,21 @@ def test_route_flow_moves_partial_sums_only(spark, small):
     assert "partial_count" in text[text.index(by_route) :]
 
 
+def test_totals_share_one_pass_over_trips(spark, small):
+    t = Tables(spark, small)
+    totals = [
+        curation.hourly_demand(t.published_state, t.zones, t.zone_range),
+        curation.zone_summary(t.published_state, t.zones, t.zone_range),
+        curation.daily_summary(t.published_state),
+    ]
+    for df in totals:
+        text = plan(df)
+        assert "trip_state" in text and "clean_trips" not in text and "events" not in text
+    direct = t.trips.agg(F.count("*"), F.min("pickup_datetime"), F.max("pickup_datetime")).first()
+    whole = totals[1].agg(F.sum("total_trips"), F.min("first_pickup_datetime"), F.max("last_pickup_datetime")).first()
+    assert tuple(direct) == tuple(whole)
+
+
 def test_impact_groups_once(spark, small):
     text = plan(Tables(spark, small).impact)
     # Trips, hours and conditions are shuffled once each; the baseline is a window.
