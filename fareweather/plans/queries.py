@@ -228,13 +228,31 @@ def borough_silhouette(t: Tables) -> DataFrame:
     return _rounded(zone_model.silhouette(zones.withColumns(named), chosen), "silhouette_score")
 
 
+def run_report_rows(t: Tables) -> DataFrame:
+    """The accounting section of the run report, read back as rows."""
+    return run_report(t).select("period_start", F.inline("rows"))
+
+
+def forest_checks(t: Tables) -> DataFrame:
+    """What holds for any fitted forest: counts of rows and of broken rules."""
+    error = F.col("total_trips") - F.col("predicted_total_trips")
+    importance = explore.top_features(demand_model.feature_importance(t.spark, t.forest), n=100)
+    shares = importance.agg(F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("importance_sum"))
+    rows = demand_model.published(t.predictions).agg(
+        F.count("*").alias("prediction_rows"),
+        F.count_if(F.col("predicted_total_trips") < 0).alias("negative"),
+        F.count_if(F.abs(error - F.col("prediction_error")) > 1e-9).alias("wrong_errors"),
+    )
+    return rows.withColumns({name: shares.select(name).scalar() for name in shares.columns})
+
+
 #: Features that the silhouette of the boroughs looks at.
 BOROUGH_FEATURES = ("avg_demand_lift_pct", "avg_duration_delta_minutes")
 
 QUERIES: dict[str, Query] = {
     # sources
-    "scan_trips": lambda t: t.raw,
-    "dim_location": lambda t: curation.dim_location(t.zones),
+    "scan_trips": lambda t: readers.scan_trips(t.spark, t.trip_files),
+    "dim_location": lambda t: curation.dim_location(readers.read_zone_lookup(t.spark, t.zone_file)),
     "weather_decode": weather_decode,
     "zone_shape_keys": zone_shape_keys,
     "run_report": run_report,
@@ -328,6 +346,12 @@ QUERIES: dict[str, Query] = {
     "cluster_distribution": lambda t: explore.cluster_distribution(t.clusters),
     "cluster_top_zones": cluster_top_zones,
     "borough_silhouette": borough_silhouette,
+    "group_distribution": lambda t: explore.cluster_distribution(t.borough_groups),
+    "mean_prediction_metrics": lambda t: _rounded(
+        demand_model.error_metrics(t.mean_predictions), "mae", "rmse", "r2", "mape_percent"
+    ),
+    "run_report_rows": run_report_rows,
+    "forest_checks": forest_checks,
     "silhouette": lambda t: zone_model.silhouette(
         t.model_input, t.clusters.select("zone_id", "cluster_id")
     ),

@@ -252,8 +252,26 @@ class Tables:
 
     def _publish(self, name: str, df: DataFrame) -> str:
         """Write a table of the chain to the shared folder, below this object's own id."""
+        return writers.write_table(df, self._path(name))
+
+    def _path(self, name: str) -> str:
         app = self.spark.sparkContext.applicationId
-        return writers.write_table(df, f"{shared_folder(self.spark)}/{app}/{self.run}/{name}")
+        return f"{shared_folder(self.spark)}/{app}/{self.run}/{name}"
+
+    @cached_property
+    def trip_files(self) -> list[str]:
+        """Raw trips as two monthly files; the second stores numbers in other types."""
+        at = F.col("tpep_pickup_datetime")
+        first = F.coalesce(at < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit(True))
+        kinds = {"VendorID": "int", "passenger_count": "bigint", "PULocationID": "int", "extra": "float"}
+        second = self.raw.where(~first).withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
+        return [self._publish("trips_first", self.raw.where(first)), self._publish("trips_second", second)]
+
+    @cached_property
+    def zone_file(self) -> str:
+        """The zone lookup as a CSV file with a header."""
+        self.zones.write.mode("overwrite").option("header", True).csv(self._path("zones.csv"))
+        return self._path("zones.csv")
 
     @cached_property
     def published_clean(self) -> str:
