@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fareweather.llm import store
 from fareweather.llm.components import components
+from fareweather.llm.marks import unique_ids
 from fareweather.llm.text import Words, grams, list_column, mix, pieces, ranges
 
 _U = np.uint64
@@ -395,9 +396,13 @@ def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents whose id names their group, with all their columns; rows that
-    repeat an id are kept once."""
-    kept = near_copies(docs, settings).where("doc_id = component_id or doc_id is null")
-    kept = kept.where("doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    chosen = docs.join(kept, docs["doc_id"].cast("long") == F.col("_kept"), "left_semi")
-    return chosen.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    """One document of each group of near copies, with all columns: the one with the
+    smallest id. Where ids are missing or repeated, rows are told apart by a
+    fingerprint of id and text, and equal rows are kept once."""
+    unique = unique_ids(docs)
+    uid = F.col("doc_id").cast("long") if unique else F.xxhash64("doc_id", "text")
+    keyed = docs.withColumn("_uid", uid)
+    found = near_copies(keyed.select(F.col("_uid").alias("doc_id"), "text"), settings)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    chosen = keyed.join(kept, F.col("_uid") == F.col("_kept"), "left_semi")
+    return (chosen if unique else chosen.dropDuplicates(["_uid"])).drop("_uid")
