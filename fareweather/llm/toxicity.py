@@ -22,6 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fareweather.llm import store
 from fareweather.llm.text import SIGNS, Chunk, Words, list_column, mix, pieces, stretch
 
 #: Terms that name groups, by kind. Each is swapped for the next.
@@ -42,11 +43,12 @@ class Settings:
     """``rows``: labelled rows at most in the fit, drawn by hash; ``least``: sampled
     texts a word must stand in; ``signal``: how many standard deviations its share of
     toxic texts must lie off the common one, else the word is left out, so that long
-    texts do not gather noise; ``beginnings``: lengths in bytes of word beginnings;
+    texts do not gather noise; ``features``: kept at most; ``beginnings``: lengths in bytes of word beginnings;
     ``penalty``: of squared score changes; ``decay``: of squared weights."""
 
     rows: int = 20_000
     least: int = 3
+    features: int = 200_000
     signal: float = 3.5
     beginnings: tuple[int, ...] = (4, 5, 6)
     penalty: float = 5.0
@@ -102,80 +104,127 @@ def _swapped(text: str, other: dict[str, str]) -> str | None:
     return out if hit else None
 
 
-def _sample_features(settings: Settings):
-    other = {t: kind[(i + 1) % len(kind)] for kind in settings.terms for i, t in enumerate(kind)}
+def _own_and_changed(part: pa.RecordBatch, chunk: Chunk, other: dict[str, str], settings: Settings):
+    """Features of each text, and those that a text and its twin do not share: +1 for
+    the text's, -1 for the twin's."""
+    texts = ["" if t is None else t for t in part.column("text").to_pylist()]
+    values, count = _features(Words(chunk, True, SIGNS), settings)
+    owner = np.repeat(np.arange(len(texts)), count)
+    twins = [(i, s) for i, t in enumerate(texts) if (s := _swapped(t, other)) is not None]
+    if not twins:
+        none = np.empty(0, np.int64)
+        return values, owner, none.astype(np.uint64), none, none.astype(np.int8)
+    index = np.array([i for i, _ in twins])
+    twin, own = _features(Words(_chunk([s.encode() for _, s in twins]), True, SIGNS), settings)
+    plain = np.isin(owner, index)
+    change = np.concatenate([values[plain], twin])
+    changed = np.concatenate([owner[plain], np.repeat(index, own)])
+    sign = np.concatenate([np.ones(int(plain.sum()), np.int8), -np.ones(len(twin), np.int8)])
+    order = np.lexsort((change, changed))
+    change, changed, sign = change[order], changed[order], sign[order]
+    pair = (change[1:] == change[:-1]) & (changed[1:] == changed[:-1])
+    alone = ~(np.append(pair, False) | np.insert(pair, 0, False))
+    return values, owner, change[alone], changed[alone], sign[alone]
+
+
+def _count_features(settings: Settings):
+    """(feature, texts with it, toxic ones, whether a swap changes it); feature null
+    holds the numbers of all texts."""
+    other = _swaps(settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, chunk in pieces(batch):
-                texts = ["" if t is None else t for t in part.column("text").to_pylist()]
-                twins = [(i, s) for i, t in enumerate(texts) if (s := _swapped(t, other)) is not None]
-                values, count = _features(Words(chunk, True, SIGNS), settings)
-                twin_values, twin_count = np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
-                if twins:
-                    twin_values, own = _features(Words(_chunk([s.encode() for _, s in twins]), True, SIGNS), settings)
-                    twin_count[[i for i, _ in twins]] = own
+                toxic = part.column("toxic").to_numpy().astype(np.int64)
+                values, owner, change, _, _ = _own_and_changed(part, chunk, other, settings)
+                known, back = np.unique(np.concatenate([values, change]), return_inverse=True)
+                seen = np.bincount(back[: len(values)], minlength=len(known))
+                bad = np.bincount(back[: len(values)], toxic[owner], len(known)).astype(np.int64)
+                moved = np.bincount(back[len(values) :], minlength=len(known)) > 0
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.concat_arrays([pa.array(known.view(np.int64)), pa.nulls(1, pa.int64())]),
+                        pa.array(np.append(seen, len(toxic))), pa.array(np.append(bad, toxic.sum())), pa.array(np.append(moved, False)),
+                    ],
+                    names=["feature", "seen", "bad", "moved"],
+                )
+
+    return run
+
+
+def _sample_features(shared, settings: Settings):
+    """Of each text the features that were chosen, and those a swap changes."""
+    other = _swaps(settings)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = shared.value
+        for batch in batches:
+            for part, chunk in pieces(batch):
+                values, owner, change, changed, sign = _own_and_changed(part, chunk, other, settings)
+                keep, moved = np.isin(values, chosen), np.isin(change, chosen)
+                rows = part.num_rows
+                count = np.bincount(owner[keep], minlength=rows)
+                own = np.bincount(changed[moved], minlength=rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("toxic"),
-                        list_column(pa.array(values.view(np.int64)), count),
-                        list_column(pa.array(twin_values.view(np.int64)), twin_count),
+                        list_column(pa.array(np.searchsorted(chosen, values[keep]).astype(np.int32)), count),
+                        list_column(pa.array(np.searchsorted(chosen, change[moved]).astype(np.int32)), own),
+                        list_column(pa.array(sign[moved].astype(np.int32)), own),
                     ],
-                    names=["toxic", "features", "twin"],
+                    names=["toxic", "features", "change", "sign"],
                 )
 
     return run
 
 
+def _swaps(settings: Settings) -> dict[str, str]:
+    return {t: kind[(i + 1) % len(kind)] for kind in settings.terms for i, t in enumerate(kind)}
+
+
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """Learn from ``labels`` (doc_id, toxic 0/1) of ``docs`` (doc_id, text)."""
-    s = settings
+    s, spark = settings, docs.sparkSession
     sample = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .select("doc_id", F.col("toxic").cast("int"))
         .orderBy(F.xxhash64("doc_id", F.lit(10)), "doc_id", "toxic")
         .limit(s.rows)
     )
-    # Bounded by ``rows``: the labels are broadcast, the features come to the driver.
+    # Bounded by ``rows``: the labels are broadcast; of features only those that tell
+    # something, at most ``features`` of them, come to the driver.
+    taught = store.written(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text"), "labelled")
+    counted = taught.mapInArrow(_count_features(s), "feature long, seen long, bad long, moved boolean")
+    counted = counted.groupBy("feature").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"), F.max("moved").alias("moved"))
+    counted = store.written(counted, "features")
+    whole = counted.where("feature is null").first()
+    none = np.empty(0, np.uint64)
+    if whole is None or not whole["seen"]:
+        return Model(none, np.empty(0), 0.0, s)
+    share = whole["bad"] / whole["seen"]
+    off = F.abs(F.col("bad") - share * F.col("seen"))
+    far = off / F.sqrt(F.greatest("seen", F.lit(1)))
+    telling = (F.col("seen") >= s.least) & (off >= s.signal * F.sqrt(F.col("seen") * max(share * (1 - share), 1e-12)))
     rows = (
-        docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-        .select("toxic", "text").mapInArrow(_sample_features(s), "toxic int, features array<long>, twin array<long>")
-        .toArrow()
+        counted.where("feature is not null").where(F.col("moved") | telling)
+        .orderBy(F.desc("moved"), F.desc(far), "feature").limit(s.features).select("feature").collect()
     )
-    label = rows["toxic"].to_numpy().astype(float)
-    if not len(label):
-        return Model(np.empty(0, np.uint64), np.empty(0), 0.0, s)
+    features = np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+    shared = spark.sparkContext.broadcast(features)
+    got = taught.mapInArrow(
+        _sample_features(shared, s), "toxic int, features array<int>, change array<int>, sign array<int>"
+    ).toArrow()
 
     def lists(name: str) -> tuple[np.ndarray, np.ndarray]:
-        column = rows[name].combine_chunks()
+        column = got[name].combine_chunks()
         column = column if isinstance(column, pa.ListArray) else pa.concat_arrays(column.chunks)
-        return column.flatten().to_numpy().view(np.uint64), np.asarray(column.value_lengths())
-
-    values, count = lists("features")
-    twin_values, twin_count = lists("twin")
-    owner = np.repeat(np.arange(len(count)), count)
-    twin_owner = np.repeat(np.arange(len(twin_count)), twin_count)
-    # What a text and its twin do not share: +1 for the text, -1 for the twin.
-    plain = twin_count[owner] > 0
-    change = np.concatenate([values[plain], twin_values])
-    changed = np.concatenate([owner[plain], twin_owner])
-    sign = np.concatenate([np.ones(int(plain.sum())), -np.ones(len(twin_owner))])
-    order = np.lexsort((change, changed))
-    change, changed, sign = change[order], changed[order], sign[order]
-    pair = (change[1:] == change[:-1]) & (changed[1:] == changed[:-1])
-    alone = ~(np.append(pair, False) | np.insert(pair, 0, False))
-    change, changed, sign = change[alone], changed[alone], sign[alone]
-
-    known, back, seen = np.unique(values, return_inverse=True, return_counts=True)
-    share = label.mean()
-    toxic = np.bincount(back, label[owner], len(known))
-    wanted = np.abs(toxic - share * seen) >= s.signal * np.sqrt(seen * max(share * (1 - share), 1e-12))
-    wanted &= seen >= s.least
-    features = np.unique(np.concatenate([known[wanted], change]))
-    place = np.searchsorted(features, values)
-    used = features[np.minimum(place, max(len(features) - 1, 0))] == values if len(features) else np.zeros(len(values), bool)
-    owner, column = owner[used], place[used]
-    d_owner, d_column, d_value = changed, np.searchsorted(features, change), sign
+        return column.flatten().to_numpy(), np.asarray(column.value_lengths())
+
+    label = got["toxic"].to_numpy().astype(float)
+    column, count = lists("features")
+    owner = np.repeat(np.arange(len(label)), count)
+    d_column, count = lists("change")
+    d_owner, d_value = np.repeat(np.arange(len(label)), count), lists("sign")[0].astype(float)
 
     n, k = len(label), len(features)
     w, b = np.zeros(k), 0.0
