@@ -2,7 +2,8 @@
 
 A mark is a stretch of a text packed into a long: start, length and two flags. The
 flags tell that the stretch is repeated as a whole (``WHOLE``), or that some of its
-windows may be and have to be looked at one by one (``SOME``).
+windows may be and have to be looked at one by one (``SOME``). In rows by key, before
+that is known, the flags' place holds the kind of the row.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from fareweather.llm.text import pieces, ranges
 
 WHOLE, SOME = 2, 1
 _LENGTH = 1 << 20
-_NAMES = ["key", "context", "uid", "doc", "mark", "kind"]
-ROWS = "key long, context long, uid long, doc long, mark long, kind byte"
+ROWS = "key long, context long, uid long, mark long"
+ROWS_WITH_DOC = ROWS + ", doc long"
 #: Kinds of rows: as filed; also repeated beside it in its batch; a finished stretch.
 FILED, PAIRED, READY = 0, 1, 2
 
@@ -68,7 +69,7 @@ def file_rows(scheme: Scheme, sequence, other_documents: bool):
                 prefix, offsets = sequence(chunk)
                 r = filed(prefix, offsets, scheme)
                 uid = part.column("uid").to_numpy()[r.text]
-                doc = part.column("doc").to_numpy()[r.text]
+                doc = part.column("doc").to_numpy()[r.text] if other_documents else uid
                 shift = offsets[r.text]
                 start, end = r.at - r.high - shift, r.at - r.low + scheme.length - shift
                 found.append((r.key.view(np.int64), r.context.view(np.int64), uid, doc, start, end))
@@ -82,11 +83,11 @@ def file_rows(scheme: Scheme, sequence, other_documents: bool):
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (context[1:] != context[:-1])])
             first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
             ready = doc > doc[first] if other_documents else ~new
-            kind = np.zeros(len(key), np.int8)
+            kind = np.full(len(key), FILED)
             if not other_documents:
                 kind[new] = np.where(np.append(new[1:], True)[new], FILED, PAIRED)
             keep = ~ready
-            columns = [key[keep], context[keep], uid[keep], doc[keep], packed(start, end)[keep], kind[keep]]
+            columns = [key[keep], context[keep], uid[keep], (packed(start, end) | kind)[keep], doc[keep]]
             if ready.any():
                 by = np.lexsort((start[ready], uid[ready]))
                 u, s, e = uid[ready][by], start[ready][by], end[ready][by]
@@ -96,17 +97,22 @@ def file_rows(scheme: Scheme, sequence, other_documents: bool):
                 mark = np.concatenate(runs)
                 spread = (owner * np.int64(0x1E3779B97F4A7C15) + mark) ^ (mark << 17)
                 zero = np.zeros(len(mark), np.int64)
-                more = [spread, zero, owner, zero, mark, np.full(len(mark), READY, np.int8)]
+                more = [spread, zero, owner, mark | READY, zero]
                 columns = [np.concatenate(x) for x in zip(columns, more)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_NAMES)
+            names = ["key", "context", "uid", "mark", *["doc"] * other_documents]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns[: len(names)]], names=names)
 
     return run
 
 
-def by_key(rows: DataFrame) -> DataFrame:
+def kind() -> Column:
+    return F.col("mark").bitwiseAND(F.lit(3).cast("long"))
+
+
+def by_key(rows: DataFrame, doc: str) -> DataFrame:
     """Rows with what their key's other rows tell: ``before`` and ``after`` (contexts
     next to it, in the order of contexts and documents), ``mixed`` (several contexts)."""
-    order = W.partitionBy("key").orderBy("context", "doc", "mark")
+    order = W.partitionBy("key").orderBy("context", doc, "mark")
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     return (
         rows.withColumn("before", F.lag("context").over(order))
@@ -117,7 +123,7 @@ def by_key(rows: DataFrame) -> DataFrame:
 
 def flagged(whole: Column, some: Column) -> Column:
     flags = F.when(whole, WHOLE).otherwise(0) + F.when(some, SOME).otherwise(0)
-    return F.col("mark").bitwiseOR(flags.cast("long"))
+    return F.col("mark").bitwiseAND(F.lit(-4).cast("long")).bitwiseOR(flags.cast("long"))
 
 
 def removed(marks: np.ndarray, windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:

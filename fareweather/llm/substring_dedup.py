@@ -191,11 +191,11 @@ def deduplicate(docs: DataFrame, scheme: Scheme = WORDS, states: int = 500_000,
     """
     docs = M.with_uid(docs)
     given = docs.select("uid", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), "text")
-    rows = given.mapInArrow(M.file_rows(scheme, _sequence, True), M.ROWS)
-    known = M.by_key(rows)
+    rows = given.mapInArrow(M.file_rows(scheme, _sequence, True), M.ROWS_WITH_DOC)
+    known = M.by_key(rows, "doc")
     run = W.partitionBy("key", "context").orderBy("doc", "mark")
     known = known.withColumn("least", F.first("doc").over(run))
-    ready = F.col("kind") == M.READY
+    ready = M.kind() == M.READY
     whole = ready | (F.col("doc") > F.col("least"))
     some = F.col("mixed") & ~whole
     marks = store.written(

@@ -93,12 +93,11 @@ def deduplicate(docs: DataFrame, scheme: Scheme = BYTES, digest: bool = False) -
     and kept: the bytes that remain, or with ``digest`` their SHA-256 in hex.
     """
     docs = M.with_uid(docs)
-    given = docs.select("uid", "uid", "text").toDF("uid", "doc", "text")
-    rows = given.mapInArrow(M.file_rows(scheme, _sequence, False), M.ROWS).drop("doc").withColumn("doc", F.col("uid"))
-    known = M.by_key(rows)
+    rows = docs.select("uid", "text").mapInArrow(M.file_rows(scheme, _sequence, False), M.ROWS)
+    known = M.by_key(rows, "uid")
     same = F.coalesce(F.col("before") == F.col("context"), F.lit(False))
-    whole = (F.col("kind") > M.FILED) | same | F.coalesce(F.col("after") == F.col("context"), F.lit(False))
-    some = F.col("mixed") & ~same & (F.col("kind") < M.READY)
+    whole = (M.kind() > M.FILED) | same | F.coalesce(F.col("after") == F.col("context"), F.lit(False))
+    some = F.col("mixed") & ~same & (M.kind() < M.READY)
     marks = (
         known.where(whole | some).select("uid", M.flagged(whole, some).alias("mark"))
         .groupBy("uid").agg(F.collect_list("mark").alias("marks"))
