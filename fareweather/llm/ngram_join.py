@@ -376,11 +376,12 @@ def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         tokens = again.join(bad, "doc_id", "left_semi").select("token").distinct()
         open_ = again.join(tokens, "token", "left_semi")
         fine = texts.join(open_.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_fine_points(s), "doc_id long, point binary")
-        open_ = store.written(open_.join(fine, "doc_id"), "open")
+        open_, fine = store.written(open_, "open"), store.written(fine, "points")
         for every in (False, True):
+            # The wide points join last, so they are shuffled once a round.
             label = F.coalesce("component", "doc_id").alias("label")
-            rows_ = open_.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("token", "doc_id", "n", "point", label)
-            rows_ = rows_.repartition("token").sortWithinPartitions("token", "doc_id")
+            rows_ = open_.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("token", "doc_id", "n", label)
+            rows_ = rows_.join(fine, "doc_id").repartition("token").sortWithinPartitions("token", "doc_id")
             more = rows_.mapInArrow(_buckets(s, True, every), _PAIRS).select("a", "b").distinct()
             checked = _verified(more.join(failed, ["a", "b"], "left_anti"), texts, s)
             links = links.union(checked.where("good").select("a", "b"))
