@@ -31,7 +31,9 @@ class Settings:
     sampled rows of a language and the longest text among them; ``dictionary_bytes``:
     of each dictionary; ``level``: of the encoder. Texts that shrink below ``fine_bytes``,
     where single bytes matter, are encoded at ``fine_levels`` with each of ``fine_parts``
-    parts of a dictionary, and the sizes averaged. ``margin``: the least lead, as a
+    parts of a dictionary, and the sizes averaged. ``block_bytes``: a longer text is
+    encoded in blocks of so many, each beginning with the dictionary, and the sizes are
+    summed: else a long text becomes its own dictionary and the lead fades. ``margin``: the least lead, as a
     share of the smallest size, that is not narrow."""
 
     languages: int = 64
@@ -42,6 +44,7 @@ class Settings:
     fine_levels: tuple[int, ...] = (3, 19)
     fine_parts: int = 4
     fine_bytes: int = 250
+    block_bytes: int = 65_536
     margin: float = 0.002
 
 
@@ -109,8 +112,9 @@ class _Encoders:
         if not text or not m.names or not _LETTER.search(text):
             return UNKNOWN, 0.0, 0.0, True
         data = _plain(text)
+        blocks = [data[k : k + s.block_bytes] for k in range(0, len(data), s.block_bytes)]
         for encoders in (self.whole, self.fine):
-            sizes = [sum(len(e.compress(data)) for e in own) / len(own) for own in encoders]
+            sizes = [sum(len(e.compress(b)) for b in blocks for e in own) / len(own) for own in encoders]
             if min(sizes) >= s.fine_bytes:
                 break
         order = sorted(range(len(sizes)), key=sizes.__getitem__)

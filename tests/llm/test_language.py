@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from fareweather.llm import language, store
@@ -47,6 +49,19 @@ def test_narrow_lead_is_rejected(spark, labelled):
     assert got[0]["lang_pred"] == "und" and got[1]["rejected"] and got[2]["lang_pred"] == "en"
 
 
+def test_lead_does_not_fade_with_length(spark, labelled):
+    model = language.fit(labelled)
+    encode = language._Encoders(model)
+    for name in WORDS:
+        once = " ".join(t for _, t, own in corpus() if own == name)
+        draw = random.Random(7)
+        words = [w + draw.choice(["", "s", "e", "n"]) for w in once.split()]
+        long = " ".join(draw.choice(words) + draw.choice("abcdefgh") * draw.randrange(3) for _ in range(400_000))
+        found, _, margin, rejected = encode(long)
+        assert found == name and not rejected
+        assert margin > encode(long[: model.settings.block_bytes])[2] / 2
+
+
 def test_fit_is_bounded_and_repeatable(labelled):
     s = language.Settings(languages=2, rows=3, dictionary_bytes=200)
     one, two = language.fit(labelled, settings=s), language.fit(labelled.repartition(7), settings=s)
