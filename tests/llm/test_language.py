@@ -62,6 +62,30 @@ def test_lead_does_not_fade_with_length(spark, labelled):
         assert margin > encode(long[: model.settings.block_bytes])[2] / 2
 
 
+def test_every_label_is_learned(spark):
+    draw = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{k:02d}": ["".join(draw.choices(letters, k=6)) for _ in range(30)] for k in range(70)}
+    rows = [(k * 70 + j, " ".join(draw.choices(words[n], k=60)), n) for k in range(3) for j, n in enumerate(words)]
+    words["long"] = ["".join(draw.choices(letters, k=6)) for _ in range(3000)]
+    # Long rows only, without an id, and each word in another place of the text.
+    rows += [(None, " ".join(draw.choices(words["long"][k * 1500 :][:1500], k=4000)), "long") for k in range(2)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(model.names) == set(words) and model.names[-1] == "long"
+    assert sum(map(len, model.contents)) <= model.settings.all_bytes
+    encode = language._Encoders(model)
+    for name, own in words.items():
+        found, _, _, rejected = encode(" ".join(draw.choices(own, k=200)))
+        assert found == name and not rejected
+
+
+def test_dictionaries_share_their_bytes(spark, labelled):
+    s = language.Settings(all_bytes=900)
+    model = language.fit(labelled, settings=s)
+    assert len(model.names) == 3 and max(map(len, model.contents)) <= 300
+    assert all(len(c) > 100 for c in model.contents)
+
+
 def test_fit_is_bounded_and_repeatable(labelled):
     s = language.Settings(languages=2, rows=3, dictionary_bytes=200)
     one, two = language.fit(labelled, settings=s), language.fit(labelled.repartition(7), settings=s)
