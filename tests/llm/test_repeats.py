@@ -84,6 +84,35 @@ def test_words_against_brute_force(docs_of, seed):
     assert word_rows(docs_of(rows), FEW_WORDS, states=20) == word_truth(rows, 6)
 
 
+@pytest.mark.parametrize("seed", [3, 6])
+def test_hot_keys_against_brute_force(docs_of, seed):
+    rows = [*mosaic(seed), *mosaic(seed, 20)[3:9], (None, mosaic(seed)[2][1])]
+    assert word_rows(docs_of(rows), FEW_WORDS, hot=1) == word_truth(rows, 6)
+    assert word_rows(docs_of(rows), FEW_WORDS, hot=12) == word_truth(rows, 6)
+
+
+def test_hot_key_meets_no_automaton(docs_of, monkeypatch):
+    """A passage with another context in each document: one row a window leaves a batch."""
+    passage = " ".join(f"p{k}" for k in range(12))
+    rows = [(k, f"a{k} b{k} c{k} {passage} d{k} e{k} f{k}") for k in range(300)]
+    inner = substring_dedup._stream
+
+    def watched(length, states):
+        run = inner(length, states)
+
+        def counted(batches):
+            for batch in batches:
+                sizes = [len(w) for w in batch.column("words").to_pylist()]
+                assert sum(n > 1 for n in sizes) <= 100, "stretches of a hot key in one task"
+                yield from run([batch])
+
+        return counted
+
+    monkeypatch.setattr(substring_dedup, "_stream", watched)
+    got = word_rows(docs_of(rows, 1), FEW_WORDS, hot=20)
+    assert got == word_truth(rows, 6)
+
+
 def test_production_windows(docs_of, sample_rows):
     rows = sample_rows[:40] + sample_rows[-10:]
     assert byte_rows(docs_of(rows), suffix_dedup.BYTES) == byte_truth(rows, 200)
