@@ -86,6 +86,17 @@ def test_clean_keeps_the_rest_with_all_columns(tables):
     assert {900, 901} | {k for k in range(120) if k % 6 in (0, 3, 5)} == kept
 
 
+def test_clean_without_ids_and_with_repeated_ids(tables, docs_of):
+    _, items, _, bench = tables
+    leak, clean = items[0][1], " ".join(f"c{k}" for k in range(30))
+    rows = [(None, leak), (None, clean), (7, leak), (7, clean + " x"), (8, clean), (9, leak), (9, leak)]
+    for s in (D.Settings(), SPARSE):
+        left = D.clean(docs_of(rows), bench, s)
+        assert left.columns == docs_of(rows).columns
+        got = sorted((str(r["doc_id"]), r["text"]) for r in left.collect())
+        assert got == sorted([("None", clean), ("7", clean + " x"), ("8", clean)])
+
+
 def test_tiles_take_the_longest_first():
     item = np.array([1, 2, 3, 4, 5, 6, 7], np.uint64)
     doc = np.array([4, 5, 6, 7, 9, 1, 2, 3, 4, 5], np.uint64)
