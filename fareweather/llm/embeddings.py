@@ -30,7 +30,7 @@ from fareweather.llm.components import components
 @dataclass(frozen=True)
 class Settings:
     """``sample``: vectors at most from which a rotation is learned, drawn by hash;
-    ``rotations`` of as many bits as a vector has components (64 at most each);
+    ``rotations`` of 64 bits, or more of as many bits as a shorter vector has components;
     ``table_bits``: length of a substring; ``block``: classes of a bucket compared
     in one task."""
 
@@ -69,7 +69,12 @@ def _units(column: pa.Array, size: int) -> np.ndarray:
 
 
 def _tables(size: int, s: Settings) -> int:
-    return max(1, s.rotations * min(size, 64) // s.table_bits)
+    return max(1, s.rotations * 64 // s.table_bits)
+
+
+def _rotations(size: int, s: Settings) -> int:
+    """So many that vectors of any length get as many bits: short ones need more."""
+    return -(-s.rotations * 64 // min(size, 64))
 
 
 def _codes(unit: np.ndarray, model: list, s: Settings) -> np.ndarray:
@@ -177,7 +182,7 @@ def fit(vectors: DataFrame, s: Settings = Settings()) -> dict[int, list]:
     for size in sorted(r[0] for r in vectors.select("size").distinct().collect()):
         sample = vectors.where(F.col("size") == size).select("rep", "vector").orderBy(F.xxhash64("rep", F.lit(8)), "rep")
         unit = _units(sample.limit(s.sample).select("vector").toArrow()["vector"], size)
-        models[size] = [_learn(unit, min(size, 64), 17 + k, s.rounds) for k in range(s.rotations)]
+        models[size] = [_learn(unit, min(size, 64), 17 + k, s.rounds) for k in range(_rotations(size, s))]
     return models
 
 

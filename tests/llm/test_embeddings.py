@@ -76,5 +76,17 @@ def test_recall_on_given_vectors(spark):
     assert all(got[i][0] <= want[i][0] for i in want)
 
 
+def test_recall_of_short_vectors_near_the_bound(spark):
+    draw, rows = np.random.default_rng(5), []
+    for size in (8, 16):
+        for k in range(250):
+            u, w = np.linalg.qr(draw.standard_normal((size, 2)))[0].T
+            for v in (u, 0.9825 * u + math.sqrt(1 - 0.9825**2) * w):
+                rows.append((len(rows), [float(x) for x in v.astype(np.float32)], k % 10))
+    want, got = truth(rows), found(spark, rows)
+    for part in (range(500), range(500, 1000)):
+        assert sum(got[i][0] for i in part) >= 0.9 * sum(want[i][0] for i in part) > 400
+
+
 def test_empty_table(spark):
     assert found(spark, []) == {}
