@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fareweather.llm import decontamination, embeddings, language, language_model, ngram_join, packing, pii, store, substring_dedup, suffix_dedup, toxicity
+from fareweather.llm import (
+    decontamination, embeddings, language, language_model, ngram_join, packing, pii, quality,
+    ranked_search, store, substring_dedup, suffix_dedup, toxicity, vector_codes,
+)
+from fareweather.llm.sql import SQL
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,6 +84,23 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, folder, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "n_chars")
+    held_out = language.held_out(4, 2)
+    model = quality.fit(docs, _table(spark, folder, "labels").where(~held_out))
+    score = quality.scorer(spark, model)(F.col("text"), quality.stated_length(docs))
+    scored = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -91,5 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": op8_embeddings,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_quality": op13_quality,
 }
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]

@@ -141,6 +141,17 @@ class Words:
         return np.repeat(np.arange(len(self.of_text) - 1), self.counts)
 
 
+def distinct(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of each text in a row, how often each occurs, and the text of each."""
+    owner = words.text_index()
+    order = np.lexsort((words.hash, owner))
+    value, owner = words.hash[order], owner[order]
+    first = np.ones(len(value), bool)
+    first[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(first)
+    return value[at], np.diff(np.append(at, len(value))), owner[at]
+
+
 def grams(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints of the n-word shingles of each text and their first words."""
     h = words.hash

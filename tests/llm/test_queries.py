@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from fareweather.llm.queries import QUERIES
+from fareweather.llm.queries import QUERIES, SQL
 
 COLUMNS = {
     "op1_suffix_dedup": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"},
@@ -17,6 +17,9 @@ COLUMNS = {
     "op8_embeddings": {"vec_id", "n_links", "component_id", "kept"},
     "op9_decontamination": {"doc_id", "item_id", "coverage"},
     "op10_toxicity": {"doc_id", "held_out", "score", "predicted"},
+    "op11_vector_codes": {"vec_id", "code", "error", "label_error", "codebooks_sha256"},
+    "op12_ranked_search": {"item_id", "rank", "doc_id", "score"},
+    "op13_quality": {"doc_id", "held_out", "score", "predicted"},
 }
 
 
@@ -29,8 +32,21 @@ def test_columns_and_rows(spark, small, name):
     df = QUERIES[name](spark, small)
     assert COLUMNS[name] <= set(df.columns)
     rows = df.count()
-    given = 500 if name.startswith("op8") else 200
-    assert rows == given or name.startswith(("op3", "op9"))
+    given = 500 if name.startswith(("op8", "op11")) else 200
+    assert rows == given or name.startswith(("op3", "op9", "op12"))
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_rows_equal_those_of_sql(spark, small, name):
+    import duckdb
+
+    with duckdb.connect() as con:
+        for table in ("documents", "embeddings", "benchmark"):
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
+        found = con.execute(SQL[name])
+        names = [d[0] for d in found.description]
+        want = sorted(found.fetchall(), key=str)
+    assert sorted(map(tuple, QUERIES[name](spark, small).select(*names).collect()), key=str) == want and want
 
 
 def test_pipeline_stages(spark, small):
