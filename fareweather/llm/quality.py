@@ -245,7 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     # Bounded by ``rows``: the labels are broadcast, the features of their texts (at most
     # ``buckets`` and the figures each) come to the driver.
     texts = docs.select("doc_id", "text", stated_length(docs).alias("stated"))
-    taught = texts.join(F.broadcast(sample), "doc_id").select("quality", "text", "stated", F.xxhash64("doc_id", "text", "quality").alias("place"))
+    taught = texts.join(F.broadcast(sample), "doc_id").select("quality", "text", "stated", F.xxhash64("doc_id", "text", "quality", "stated").alias("place"))
     taught = store.written(taught, "labelled").mapInArrow(_sample(s), "place long, quality int, features array<int>")
     got = taught.toArrow().sort_by("place")
     column = got["features"].combine_chunks()

@@ -26,10 +26,10 @@ def _moved(name: str, books: str, nearest: str) -> str:
 OP11 = f"""
 WITH kept AS (
   SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
-         list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+         list_transform(embedding, lambda x : CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    AND len(list_filter(embedding, lambda x : x IS NULL OR isnan(x) OR isinf(x))) = 0),
 parts AS (
   SELECT rid, p, {", ".join(f"v[p * {_WIDTH} + {k + 1}] AS x{k}" for k in range(_WIDTH))}
   FROM kept, (SELECT unnest(generate_series(0, 15)) AS p)),
