@@ -85,8 +85,15 @@ class ForestSettings:
     min_leaf: int = 5
     seed: int = 42
     max_bins: int = 512
-    # Of the training rows; part of the model's definition, not of the machine.
-    partitions: int = 64
+    # Into how many parts the training rows are dealt follows from their number, which
+    # belongs to the model's definition, and never from the machine: parts of ``few``
+    # rows up to ``spread`` parts, then of ``many`` rows.
+    few: int = 2_500
+    many: int = 50_000
+    spread: int = 64
+
+    def parts(self, rows: int) -> int:
+        return max(1, min(self.spread, -(-rows // self.few)), -(-rows // self.many))
 
 
 @dataclass(frozen=True)

@@ -2,11 +2,18 @@
 
 Two choices matter for speed at scale. Rounding goes through ``rint`` instead of
 ``round``, whose double path builds a decimal object per value. Sums of money,
-distances and ratios run over two 64-bit integers, the value in units of 10^-4 and
-what is left of it in units of 10^-12, instead of doubles or decimals: integer
-addition does not depend on the order of the rows, so a rerun task gives the same
-last digit, and an overflow raises instead of wrapping. What no integer can hold
-(not-a-number, infinities, sizes from 10^9) is summed apart, as doubles.
+distances and ratios run over 64-bit integers instead of doubles or decimals: a value
+is cut into units of 10^-4, these into a high and a low limb of 20 bits, and what is
+left into units of 10^-12. Integer addition does not depend on the order of the rows,
+so a rerun task gives the same last digit; an overflow raises instead of wrapping.
+A weighted sum multiplies each limb by the whole part of the weight and adds the limbs
+of the product with its fraction, so it needs the same five sums. With values up to
+10^9 a sum holds 2^39 rows or as much weight, with values up to 10^11 2^33. What no
+limb can hold (not-a-number, infinities, sizes from 10^11) is summed apart, as doubles.
+
+Where an argument is a string it is SQL, mostly the name of a column; the whole
+aggregate is then built by one call of the parser instead of dozens of column objects,
+each of which costs the driver a call into the JVM.
 """
 
 from __future__ import annotations
@@ -29,84 +36,134 @@ def round_even(x: Column, digits: int) -> Column:
     return F.rint(x * scale) / scale
 
 
-_COARSE, _FINE, _LARGE = 1e4, 1e12, 1e9
+_COARSE, _FINE, _LARGE, _LIMB = 10_000, 1_000_000_000_000, 100_000_000_000, 20
+#: The sums that hold a total; ``count`` tells whether there is a value at all.
+LIMBS = ("high", "low", "rest", "apart", "count")
 
 
-def _parts(x: Column) -> tuple[Column, Column, Column]:
-    """Units of 10^-4, what is left in units of 10^-12, and values apart from both."""
+def _cut(x: str, suffix: str = "") -> dict[str, str]:
+    """SQL of the parts of a value: limbs of its units, its rest, or itself apart."""
+    x = f"CAST({x} AS DOUBLE)"
+    plain = f"CASE WHEN abs({x}) < {_LARGE} THEN {x} END"
+    units = f"rint({plain} * {_COARSE}D)"
+    whole = f"CAST({units} AS BIGINT)"
+    return {
+        "high": f"shiftright({whole}, {_LIMB})",
+        "low": f"({whole} & {(1 << _LIMB) - 1})",
+        "rest": f"CAST(rint(({plain} - {units} / {_COARSE}D) * {_FINE}D) AS BIGINT)",
+        "apart": f"CASE WHEN NOT abs({x}) < {_LARGE} THEN {x} END",
+    }
+
+
+def _weighted_cut(x: str, weight: str) -> dict[str, str]:
+    """SQL of the parts of ``x * weight``, exact for the whole part of the weight."""
+    weight = f"CAST({weight} AS DOUBLE)"
+    value, whole = f"CASE WHEN {weight} IS NOT NULL THEN {x} END", f"CAST(floor({weight}) AS BIGINT)"
+    left = f"({weight} - floor({weight}))"
+    parts, more = _cut(value), _cut(f"{value} * {left}")
+    both = {k: f"{parts[k]} * {whole} + CASE WHEN {left} > 0 THEN {more[k]} ELSE 0 END" for k in ("high", "low", "rest")}
+    return {**both, "apart": f"({parts['apart']}) * {weight}"}
+
+
+def _total(parts: dict[str, str]) -> str:
+    """SQL of the double that sums of parts stand for."""
+    high, low, rest = [f"coalesce({parts[k]}, 0)" for k in ("high", "low", "rest")]
+    units = f"(CAST({high} AS DOUBLE) * {1 << _LIMB}D + CAST({low} AS DOUBLE))"
+    total = f"{units} / {_COARSE}D + {rest} / {_FINE}D + coalesce({parts['apart']}, 0D)"
+    return f"CASE WHEN {parts['count']} > 0 THEN {total} END"
+
+
+def _summed(parts: dict[str, str], counted: str) -> str:
+    return _total({k: f"sum({v})" for k, v in parts.items()} | {"count": f"count({counted})"})
+
+
+def _columns(x: Column) -> dict[str, Column]:
+    """As :func:`_cut`, for a value that is no SQL text."""
     x = x.cast("double")
     plain = F.when(F.abs(x) < _LARGE, x)
-    units = F.rint(plain * _COARSE)
-    rest = F.rint((plain - units / _COARSE) * _FINE)
-    return units.cast("bigint"), rest.cast("bigint"), F.when(F.abs(x) >= _LARGE, x)
+    units = F.rint(plain * float(_COARSE))
+    whole = units.cast("bigint")
+    return {
+        "high": F.shiftright(whole, _LIMB),
+        "low": whole.bitwiseAND((1 << _LIMB) - 1),
+        "rest": F.rint((plain - units / float(_COARSE)) * float(_FINE)).cast("bigint"),
+        "apart": F.when(~(F.abs(x) < _LARGE), x),
+    }
 
 
-def exact_sum(x: Column) -> Column:
+def _total_column(parts: dict[str, Column], count: Column) -> Column:
+    high, low, rest = [F.coalesce(parts[k], F.lit(0)) for k in ("high", "low", "rest")]
+    units = high.cast("double") * float(1 << _LIMB) + low.cast("double")
+    total = units / float(_COARSE) + rest / float(_FINE) + F.coalesce(parts["apart"], F.lit(0.0))
+    return F.when(count > 0, total)
+
+
+def exact_sum(x: Column | str) -> Column:
     """Sum to 12 decimals, whatever the order; null without a value."""
-    units, rest, apart = _parts(x)
-    whole = F.coalesce(F.sum(units), F.lit(0)) / F.lit(_COARSE) + F.coalesce(F.sum(rest), F.lit(0)) / F.lit(_FINE)
-    total = whole + F.coalesce(F.sum(apart), F.lit(0.0))
-    return F.when(F.count(x) > 0, total)
+    if isinstance(x, str):
+        return F.expr(_summed(_cut(x), x))
+    return _total_column({k: F.sum(v) for k, v in _columns(x).items()}, F.count(x))
 
 
-def exact_avg(x: Column) -> Column:
+def exact_avg(x: Column | str) -> Column:
+    if isinstance(x, str):
+        return F.expr(f"try_divide({_summed(_cut(x), x)}, count({x}))")
     return F.try_divide(exact_sum(x), F.count(x))
 
 
 def sum_state(name: str) -> list[Column]:
     """Aggregates that hold an exact sum of a column and can be summed on."""
-    x = F.col(name)
-    units, rest, apart = _parts(x)
-    parts = {"units": F.sum(units), "rest": F.sum(rest), "apart": F.sum(apart), "count": F.count(x)}
-    return [part.alias(f"{name}_{part_name}") for part_name, part in parts.items()]
+    parts = [F.expr(f"sum({part})").alias(f"{name}_{k}") for k, part in _cut(name).items()]
+    return [*parts, F.count(name).alias(f"{name}_count")]
+
+
+def _state(name: str) -> str:
+    return _total({k: f"sum({name}_{k})" for k in LIMBS})
 
 
 def state_sum(name: str) -> Column:
     """As :func:`exact_sum` of the column whose :func:`sum_state` is given, to the bit."""
-    units, rest, apart, count = [F.sum(f"{name}_{part}") for part in ("units", "rest", "apart", "count")]
-    whole = F.coalesce(units, F.lit(0)) / F.lit(_COARSE) + F.coalesce(rest, F.lit(0)) / F.lit(_FINE)
-    return F.when(count > 0, whole + F.coalesce(apart, F.lit(0.0)))
+    return F.expr(_state(name))
 
 
 def state_avg(name: str) -> Column:
-    return F.try_divide(state_sum(name), F.sum(f"{name}_count"))
+    return F.expr(f"try_divide({_state(name)}, sum({name}_count))")
 
 
-def sum2(x: Column) -> Column:
+def sum2(x: Column | str) -> Column:
     return round_half(exact_sum(x), 2)
 
 
-def avg2(x: Column) -> Column:
+def avg2(x: Column | str) -> Column:
     return round_half(exact_avg(x), 2)
 
 
 def _weighted_sum(x: Column, weight: Column) -> Column:
-    """Sum of ``x * weight``: whole weights exactly, fractions of weights to 12 decimals.
-
-    Weighted sums run over zone-hours, which are few, so the wider decimal type is
-    affordable and cannot overflow at any realistic trip count.
-    """
-    units, rest, apart = _parts(x)
+    """As the text form, for arguments that are no SQL text."""
     weight = weight.cast("double")
-    whole = F.floor(weight).cast("decimal(18,0)")
-    left = weight - F.floor(weight)
-    coarse = F.sum(units.cast("decimal(19,0)") * whole).cast("double") / F.lit(_COARSE)
-    fine = F.sum(rest.cast("decimal(19,0)") * whole).cast("double") / F.lit(_FINE)
-    zero = F.lit(0.0)
-    total = F.coalesce(coarse, zero) + F.coalesce(fine, zero) + F.coalesce(F.sum(apart * weight), zero)
-    finite_x = F.when(F.abs(x.cast("double")) < _LARGE, x.cast("double"))
-    total = total + F.coalesce(exact_sum(F.when(left > 0, finite_x * left)), zero)
-    return F.when(F.count(F.when(weight.isNotNull(), x)) > 0, total)
-
-
-def weighted_mean(x: Column, weight: Column) -> Column:
+    value = F.when(weight.isNotNull(), x.cast("double"))
+    whole, left = F.floor(weight).cast("bigint"), weight - F.floor(weight)
+    parts, more = _columns(value), _columns(value * left)
+    both = {k: F.sum(parts[k] * whole + F.when(left > 0, more[k]).otherwise(0)) for k in ("high", "low", "rest")}
+    return _total_column({**both, "apart": F.sum(parts["apart"] * weight)}, F.count(value))
+
+
+def weighted_mean(x: Column | str, weight: Column | str) -> Column:
     """``sum(x*w)/sum(w)``: a null ``x`` leaves the numerator only."""
+    if isinstance(x, str) and isinstance(weight, str):
+        top = _summed(_weighted_cut(x, weight), f"CASE WHEN {weight} IS NOT NULL THEN {x} END")
+        return F.expr(f"try_divide({top}, {_summed(_cut(weight), weight)})")
+    x, weight = [F.expr(c) if isinstance(c, str) else c for c in (x, weight)]
     return F.try_divide(_weighted_sum(x, weight), exact_sum(weight))
 
 
-def strict_weighted_mean(x: Column, weight: Column) -> Column:
+def strict_weighted_mean(x: Column | str, weight: Column | str) -> Column:
     """Weighted mean whose both sums skip rows without a number or a weight > 0."""
-    x, weight = x.cast("double"), weight.cast("double")
+    if isinstance(x, str) and isinstance(weight, str):
+        x, weight = f"CAST({x} AS DOUBLE)", f"CAST({weight} AS DOUBLE)"
+        usable = f"{x} IS NOT NULL AND NOT isnan({x}) AND {weight} > 0 AND NOT isnan({weight})"
+        return weighted_mean(f"(CASE WHEN {usable} THEN {x} END)", f"(CASE WHEN {usable} THEN {weight} END)")
+    x, weight = [(F.expr(c) if isinstance(c, str) else c).cast("double") for c in (x, weight)]
     usable = x.isNotNull() & ~F.isnan(x) & (weight > 0) & ~F.isnan(weight)
     return weighted_mean(F.when(usable, x), F.when(usable, weight))
 

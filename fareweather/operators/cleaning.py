@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fareweather.config import CleaningLimits
+from fareweather.functions.local import local_rows
 from fareweather.functions.numeric import avg2, round_half
 from fareweather.functions.timing import calendar_columns, minutes_between
 from fareweather.sources import schemas
@@ -89,6 +92,10 @@ def clean_trips(
     return with_derived(valid_trips(raw, trip_rules(period, limits)).distinct())
 
 
+def rejection_measures(period: Period, limits: CleaningLimits = CleaningLimits()) -> dict[str, Column]:
+    return {f"rejected_{rule.name}": F.count_if(rule.broken) for rule in trip_rules(period, limits)}
+
+
 def rejections(
     raw: DataFrame, period: Period, limits: CleaningLimits = CleaningLimits()
 ) -> DataFrame:
@@ -96,10 +103,16 @@ def rejections(
 
     A row may break several rules.
     """
-    rules = trip_rules(period, limits)
-    return raw.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        *[F.count_if(rule.broken).alias(f"rejected_{rule.name}") for rule in rules],
+    measures = rejection_measures(period, limits)
+    return raw.agg(F.count(F.lit(1)).alias("raw_rows"), *[c.alias(name) for name, c in measures.items()])
+
+
+def accounted(counted: DataFrame) -> DataFrame:
+    """Removed rows and their share beside ``raw_rows`` and ``cleaned_rows``."""
+    removed = F.col("raw_rows") - F.col("cleaned_rows")
+    share = F.coalesce(F.try_divide(removed, F.col("raw_rows")) * 100.0, F.lit(0.0))
+    return counted.withColumns(
+        {"removed_rows": removed, "removed_percentage": round_half(share, 2)}
     )
 
 
@@ -114,23 +127,49 @@ def cleaning_report(
     ``clean`` should be the published table, whose count costs no scan.
     """
     kept = clean.agg(F.count(F.lit(1))).scalar()
-    counted = rejections(raw, period, limits).withColumn("cleaned_rows", kept)
-    removed = F.col("raw_rows") - F.col("cleaned_rows")
-    share = F.coalesce(F.try_divide(removed, F.col("raw_rows")) * 100.0, F.lit(0.0))
-    return counted.withColumns(
-        {"removed_rows": removed, "removed_percentage": round_half(share, 2)}
-    )
+    return accounted(rejections(raw, period, limits).withColumn("cleaned_rows", kept))
+
+
+def counted_report(spark: SparkSession, counts: Mapping[str, int], cleaned: int) -> DataFrame:
+    """The same report from counts that the cleaning job took on its way."""
+    values = {**counts, "cleaned_rows": cleaned}
+    return accounted(local_rows(spark, dict.fromkeys(values, "BIGINT"), [tuple(values.values())]))
+
+
+def _summary_measures() -> dict[str, Column]:
+    return {
+        "min_pickup_datetime": F.min("tpep_pickup_datetime"),
+        "max_pickup_datetime": F.max("tpep_pickup_datetime"),
+        "avg_trip_distance": avg2("trip_distance"),
+        "avg_trip_duration_minutes": avg2("trip_duration_minutes"),
+        "avg_fare_amount": avg2("fare_amount"),
+        "avg_tip_amount": avg2("tip_amount"),
+        "avg_total_amount": avg2("total_amount"),
+    }
 
 
 def cleaning_summary(clean: DataFrame) -> DataFrame:
     return clean.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.countDistinct("pickup_date").alias("total_pickup_dates"),
-        F.min("tpep_pickup_datetime").alias("min_pickup_datetime"),
-        F.max("tpep_pickup_datetime").alias("max_pickup_datetime"),
-        avg2(F.col("trip_distance")).alias("avg_trip_distance"),
-        avg2(F.col("trip_duration_minutes")).alias("avg_trip_duration_minutes"),
-        avg2(F.col("fare_amount")).alias("avg_fare_amount"),
-        avg2(F.col("tip_amount")).alias("avg_tip_amount"),
-        avg2(F.col("total_amount")).alias("avg_total_amount"),
+        *[c.alias(name) for name, c in _summary_measures().items()],
     )
+
+
+def summary_measures(period: Period) -> dict[str, Column]:
+    """As :func:`cleaning_summary`, for a job that writes trips of the period.
+
+    Dates are marked in a bitmap, as a running job cannot count distinct values; it
+    has a bit for 32,768 days.
+    """
+    day = F.datediff("pickup_date", F.lit(period.start.isoformat()).cast("date"))
+    days = F.bitmap_count(F.bitmap_construct_agg(day.cast("bigint")))
+    return {"total_pickup_dates": days, **_summary_measures()}
+
+
+def counted_summary(spark: SparkSession, found: Mapping[str, Any]) -> DataFrame:
+    """The summary from what :func:`summary_measures` gave, with ``rows``."""
+    kinds = {"total_rows": "BIGINT", "total_pickup_dates": "BIGINT"}
+    kinds |= {name: "TIMESTAMP_NTZ" if name.endswith("datetime") else "DOUBLE" for name in _summary_measures()}
+    values = {**found, "total_rows": found["rows"]}
+    return local_rows(spark, kinds, [tuple(values[name] for name in kinds)])

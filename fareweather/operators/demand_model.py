@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fareweather.config import ConditionThresholds, ForestSettings
 from fareweather.functions.labels import classify_condition
-from fareweather.functions.numeric import round_even
+from fareweather.functions.numeric import exact_avg, exact_sum, round_even
 from fareweather.session import ensure_checkpoint_dir
 
+# The model's input and the columns that predictions carry on.
 CATEGORIES = ("pickup_borough", "pickup_zone", "weather_condition")
 NUMBERS = (
     "pickup_hour",
@@ -151,7 +152,7 @@ def fit_forest(train: DataFrame, settings: ForestSettings = ForestSettings()) ->
     # and the settings, never from the machine.
     points = (
         ready.select("features", TARGET, F.xxhash64(*[F.col(c) for c in train.columns]).alias("_row"))
-        .repartition(settings.partitions, "_row")
+        .repartition(settings.parts(train.count()), "_row")
         .sortWithinPartitions("_row")
         .select("features", TARGET)
         .persist()
@@ -192,26 +193,33 @@ def published(predictions: DataFrame) -> DataFrame:
 def mape(actual: Column, predicted: Column) -> Column:
     """Mean absolute percentage error over non-zero actuals, 0 without any."""
     share = F.when(actual != 0, F.abs(F.try_divide(actual - predicted, actual)))
-    return F.coalesce(F.avg(share) * 100.0, F.lit(0.0))
+    return F.coalesce(exact_avg(share) * 100.0, F.lit(0.0))
 
 
 def error_metrics(predictions: DataFrame, predicted: str = "exact_prediction") -> DataFrame:
-    """MAE, RMSE, R2 and MAPE in one aggregation."""
-    actual, guess = F.col(TARGET).cast("double"), F.col(predicted)
-    squared = F.sum((actual - guess) * (actual - guess))
-    spread = F.var_pop(actual) * F.count(actual)
+    """MAE, RMSE, R2 and MAPE in one aggregation.
+
+    All sums are exact, so the figures are equal to the bit for any layout of the rows.
+    The spread of the actual values is n times the sum of their squares less the square
+    of their sum, both as whole numbers.
+    """
+    actual = f"CAST({TARGET} AS DOUBLE)"
+    error = f"({actual} - `{predicted}`)"
+    whole = f"CAST({TARGET} AS DECIMAL(18,0))"
+    squares, total = f"sum({whole} * {whole})", f"CAST(sum({whole}) AS DECIMAL(18,0))"
+    spread = f"CAST(count({TARGET}) AS DECIMAL(18,0)) * CAST({squares} AS DECIMAL(20,0)) - {total} * {total}"
     return predictions.agg(
         F.count(F.lit(1)).alias("test_rows"),
-        F.avg(F.abs(actual - guess)).alias("mae"),
-        F.sqrt(F.avg((actual - guess) * (actual - guess))).alias("rmse"),
-        (F.lit(1.0) - F.try_divide(squared, spread)).alias("r2"),
-        mape(actual, guess).alias("mape_percent"),
+        exact_avg(f"abs({error})").alias("mae"),
+        F.sqrt(exact_avg(f"{error} * {error}")).alias("rmse"),
+        (F.lit(1.0) - F.try_divide(exact_sum(f"{error} * {error}"), F.expr(f"CAST({spread} AS DOUBLE) / count({TARGET})"))).alias("r2"),
+        mape(F.col(TARGET).cast("double"), F.col(predicted)).alias("mape_percent"),
     )
 
 
 def mean_predictions(train: DataFrame, test: DataFrame) -> DataFrame:
     """The training mean as prediction of every test row."""
-    mean = train.agg(F.avg(F.col(TARGET))).scalar()
+    mean = train.agg(exact_avg(TARGET)).scalar()
     return as_predictions(test.withColumn("predicted_total_trips", mean))
 
 

@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from fareweather.config import CLEAR
 from fareweather.functions.labels import condition_rank
+from fareweather.functions.local import local_rows
 from fareweather.functions.numeric import (
     exact_avg,
     exact_sum,
     round_half,
     strict_weighted_mean,
 )
+from fareweather.operators import order_statistics
 
 ALL = "All"
 WEEKDAYS, WEEKENDS = "Weekdays", "Weekends"
@@ -37,6 +39,30 @@ def select_existing(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.select(*present) if present else df
 
 
+#: Names under which predictions, actual values and errors are stored.
+PREDICTION_NAMES = {
+    "total_trips": ("actual_total_trips", "actual_trips", "total_trips", "y_actual"),
+    "predicted_total_trips": ("predicted_total_trips", "predicted_trips", "prediction", "y_pred"),
+    "absolute_error": ("absolute_error", "abs_error", "prediction_abs_error"),
+}
+
+
+def named_predictions(predictions: DataFrame) -> DataFrame:
+    """Predictions under the names of this engine, whatever names they are stored under.
+
+    Of several columns for one thing the first of its list is taken; the others go. An
+    absolute error that is not stored is the difference of the other two.
+    """
+    chosen = {name: first_existing(predictions, known) for name, known in PREDICTION_NAMES.items()}
+    known = {c for names in PREDICTION_NAMES.values() for c in names}
+    rest = [F.col(f"`{c}`") for c in predictions.columns if c not in known]
+    named = [F.col(source).alias(name) for name, source in chosen.items() if source]
+    found = predictions.select(*rest, *named)
+    if chosen["absolute_error"] or not (chosen["total_trips"] and chosen["predicted_total_trips"]):
+        return found
+    return with_absolute_error(found)
+
+
 def normal_types(df: DataFrame) -> DataFrame:
     """Date and weekend columns in their own types, when present."""
     kinds = {"pickup_date": "date", "is_weekend": "boolean"}
@@ -118,82 +144,17 @@ def weighted_average(df: DataFrame, value: str, weight: str) -> Column:
     """
     if value not in df.columns or weight not in df.columns:
         return F.lit(0.0)
-    return F.coalesce(strict_weighted_mean(F.col(value), F.col(weight)), F.lit(0.0))
-
-
-def _slice_of(value: Column, low: Column, high: Column, slices: int) -> Column:
-    """Equal-width slice of a value; never decreases as the value grows."""
-    place = F.coalesce(F.floor(F.try_divide(value - low, high - low) * slices), F.lit(0))
-    return F.least(place, F.lit(slices - 1))
-
-
-def _crossing(running: DataFrame, rank: str, *, keep: list[str]) -> DataFrame:
-    """Per measure the first row whose cumulative weight reaches half of all."""
-    reached = running.filter(F.col("cumulative") >= F.col("total") / 2)
-    row = F.struct(*dict.fromkeys([rank, *keep]))
-    first = reached.groupBy("measure").agg(F.min(row).alias("first"))
-    return first.select("measure", *[f"first.{name}" for name in keep])
-
+    return F.coalesce(strict_weighted_mean(value, weight), F.lit(0.0))
 
-def _cumulated(rows: DataFrame, order: str) -> DataFrame:
-    upto = W.partitionBy("measure").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    return rows.withColumn("cumulative", F.sum("weight").over(upto) + F.col("before"))
 
-
-def weighted_medians(
-    df: DataFrame, values: Mapping[str, str], weight: str, levels: int = 2, slices: int = 4096
-) -> DataFrame:
+def weighted_medians(df: DataFrame, values: Mapping[str, str], weight: str) -> DataFrame:
     """Lower weighted medians, exact: the first value at half of all weight.
 
-    One row per measure with a value. Instead of a running sum over all values,
-    the range that holds the median is narrowed: each level sums the weight of
-    equal-width slices, which needs no shuffle beyond ``slices`` partial sums per
-    task, and keeps the slice in which half of the weight is reached. Only the
-    distinct values of the last slice are ordered. All measures share the passes.
+    One row per measure with a value; they are taken by a few small jobs when the
+    frame is built, see :mod:`fareweather.operators.order_statistics`.
     """
-    named = F.array(
-        *[
-            F.struct(F.lit(name).alias("measure"), F.col(column).cast("double").alias("value"))
-            for name, column in values.items()
-        ]
-    )
-    points = (
-        df.filter(F.col(weight) > 0)
-        .select(F.inline(named), F.col(weight).alias("weight"))
-        .filter(F.col("value").isNotNull())
-    )
-    span = points.groupBy("measure").agg(
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-        F.sum("weight").alias("total"),
-    )
-    # ``before`` is the weight below ``low``, in the type of the total.
-    span = span.withColumn("before", F.col("total") - F.col("total"))
-
-    def inside(span: DataFrame) -> DataFrame:
-        # One row per measure named by the caller.
-        return points.join(F.broadcast(span), "measure").filter("value BETWEEN low AND high")
-
-    for _ in range(levels):
-        place = _slice_of(F.col("value"), F.col("low"), F.col("high"), slices)
-        sums = (
-            inside(span)
-            .groupBy("measure", place.alias("slice"), "total", "before")
-            .agg(
-                F.sum("weight").alias("weight"),
-                F.min("value").alias("low"),
-                F.max("value").alias("high"),
-            )
-        )
-        running = _cumulated(sums, "slice").withColumn(
-            "before", F.col("cumulative") - F.col("weight")
-        )
-        span = _crossing(running, "slice", keep=["low", "high", "total", "before"])
-    last = inside(span).groupBy("measure", "value", "total", "before")
-    ordered = _cumulated(last.agg(F.sum("weight").alias("weight")), "value")
-    return _crossing(ordered, "value", keep=["value"]).withColumnRenamed(
-        "value", "weighted_median"
-    )
+    found = order_statistics.weighted_medians(df, values, weight)
+    return local_rows(df.sparkSession, {"measure": "STRING", "weighted_median": "DOUBLE"}, found.items())
 
 
 def weighted_median(df: DataFrame, value: str, weight: str) -> DataFrame:
@@ -209,7 +170,7 @@ def rainy_day_share(hourly_weather: DataFrame, more_than: float = 0.1) -> DataFr
     days = (
         hourly_weather.filter(F.col("pickup_date").isNotNull())
         .groupBy("pickup_date")
-        .agg(exact_avg(F.col("rain")).alias("rain"))
+        .agg(exact_avg("rain").alias("rain"))
     )
     wet = F.count_if(F.col("rain") > more_than)
     share = F.try_divide(wet.cast("double"), F.count(F.lit(1))) * 100.0
@@ -217,6 +178,7 @@ def rainy_day_share(hourly_weather: DataFrame, more_than: float = 0.1) -> DataFr
 
 
 #: Measures shown with their weighted mean and median.
+#: The columns by name.
 KPI_MEASURES = {
     "fare": "avg_total_amount",
     "duration": "avg_trip_duration_minutes",
@@ -232,25 +194,17 @@ def overview_kpis(hourly_weather: DataFrame) -> DataFrame:
         trips.alias("total_trips"),
         days.alias("pickup_days"),
         per_day.alias("avg_trips_per_day"),
-        F.coalesce(exact_sum(F.col("total_revenue")), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(exact_sum("total_revenue"), F.lit(0.0)).alias("total_revenue"),
         *[
             weighted_average(hourly_weather, source, "total_trips").alias(f"avg_{name}")
             for name, source in KPI_MEASURES.items()
         ],
     )
-    found = weighted_medians(hourly_weather, KPI_MEASURES, "total_trips")
-    medians = found.agg(
-        F.map_from_entries(F.collect_list(F.struct("measure", "weighted_median"))).alias("medians")
-    )
-    together = totals.withColumns(
-        {"medians": medians.scalar(), "rainy_day_share": rainy_day_share(hourly_weather).scalar()}
+    medians = order_statistics.weighted_medians(hourly_weather, KPI_MEASURES, "total_trips")
+    return totals.withColumns(
+        {"rainy_day_share": rainy_day_share(hourly_weather).scalar()}
+        | {f"median_{name}": F.lit(medians.get(name, 0.0)) for name in KPI_MEASURES}
     )
-    return together.withColumns(
-        {
-            f"median_{name}": F.coalesce(F.col("medians")[name], F.lit(0.0))
-            for name in KPI_MEASURES
-        }
-    ).drop("medians")
 
 
 # --- trends and patterns -----------------------------------------------------
@@ -258,7 +212,7 @@ def overview_kpis(hourly_weather: DataFrame) -> DataFrame:
 
 def daily_trend(hourly_weather: DataFrame) -> DataFrame:
     rain = (
-        exact_avg(F.col("precipitation"))
+        exact_avg("precipitation")
         if "precipitation" in hourly_weather.columns
         else F.count(F.lit(1)).cast("double")
     )
@@ -293,6 +247,7 @@ def hourly_pattern_by_day_type(hourly_weather: DataFrame) -> DataFrame:
 # --- zones -------------------------------------------------------------------
 
 _ZONE = ("pickup_location_id", "pickup_borough", "pickup_zone")
+#: The measures of a zone, those that a table has.
 _ZONE_METRICS = (
     "avg_total_amount",
     "avg_trip_duration_minutes",
@@ -316,9 +271,9 @@ def regroup_zones(hourly: DataFrame, fallback: DataFrame) -> DataFrame:
     work = hourly.dropna(subset=list(_ZONE)).withColumn("total_trips", trips)
     measures = [F.sum("total_trips").alias("total_trips")]
     if "total_revenue" in hourly.columns:
-        measures.append(F.coalesce(exact_sum(F.col("total_revenue")), F.lit(0.0)).alias("total_revenue"))
+        measures.append(F.coalesce(exact_sum("total_revenue"), F.lit(0.0)).alias("total_revenue"))
     measures += [
-        strict_weighted_mean(F.col(name), F.col("total_trips")).alias(name)
+        strict_weighted_mean(name, "total_trips").alias(name)
         for name in _ZONE_METRICS
         if name in hourly.columns
     ]
@@ -453,7 +408,7 @@ def daily_predictions(predictions: DataFrame) -> DataFrame:
     """Actual and predicted trips per date in long form."""
     daily = predictions.groupBy("pickup_date").agg(
         F.sum("total_trips").cast("double").alias("actual_total_trips"),
-        exact_sum(F.col("predicted_total_trips")).alias("predicted_total_trips"),
+        exact_sum("predicted_total_trips").alias("predicted_total_trips"),
     )
     return daily.unpivot(
         "pickup_date", ["actual_total_trips", "predicted_total_trips"], "series", "trips"

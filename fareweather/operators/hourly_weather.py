@@ -84,7 +84,7 @@ def precipitation_effect(hourly_weather: DataFrame) -> DataFrame:
     return hourly_weather.groupBy("is_precipitation_hour").agg(
         F.count(F.lit(1)).alias("total_zone_hours"),
         F.sum("total_trips").alias("total_trips"),
-        avg2(F.col("avg_trip_duration_minutes")).alias("avg_trip_duration_minutes"),
-        sum2(F.col("total_revenue")).alias("total_revenue"),
-        avg2(F.col("avg_tip_percentage")).alias("avg_tip_percentage"),
+        avg2("avg_trip_duration_minutes").alias("avg_trip_duration_minutes"),
+        sum2("total_revenue").alias("total_revenue"),
+        avg2("avg_tip_percentage").alias("avg_tip_percentage"),
     )

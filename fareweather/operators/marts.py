@@ -43,15 +43,14 @@ _DELTAS = {
 
 
 def _by_trips(names: list[str], digits: int) -> list[Column]:
-    weight = F.col("total_trips")
     return [
-        round_half(weighted_mean(F.col(_WEIGHTED[name]), weight), digits).alias(name)
+        round_half(weighted_mean(_WEIGHTED[name], "total_trips"), digits).alias(name)
         for name in names
     ]
 
 
 def _plain(names: list[str], digits: int) -> list[Column]:
-    return [round_half(exact_avg(F.col(n)), digits).alias(f"avg_{n}") for n in names]
+    return [round_half(exact_avg(n), digits).alias(f"avg_{n}") for n in names]
 
 
 def _per_zone_hour(digits: int) -> Column:
@@ -71,9 +70,9 @@ def daily_zone_metrics(enriched: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("active_hours"),
         F.sum("total_trips").alias("trip_count"),
         F.sum("total_passengers").alias("total_passengers"),
-        sum2(F.col("total_revenue")).alias("total_revenue"),
-        sum2(F.col("total_tip")).alias("total_tip"),
-        round_half(F.try_divide(exact_sum(F.col("total_revenue")), trips), 2).alias("avg_fare"),
+        sum2("total_revenue").alias("total_revenue"),
+        sum2("total_tip").alias("total_tip"),
+        round_half(F.try_divide(exact_sum("total_revenue"), trips), 2).alias("avg_fare"),
         *_by_trips(list(_WEIGHTED), 2),
         *_plain(["temperature_2m", "precipitation", "rain", "snowfall", "wind_speed_10m"], 2),
     )
@@ -84,8 +83,8 @@ def hourly_summary(enriched: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_zone_hours"),
         F.sum("total_trips").alias("total_trips"),
         F.sum("total_passengers").alias("total_passengers"),
-        sum2(F.col("total_revenue")).alias("total_revenue"),
-        sum2(F.col("total_tip")).alias("total_tip"),
+        sum2("total_revenue").alias("total_revenue"),
+        sum2("total_tip").alias("total_tip"),
         _per_zone_hour(2),
         *_by_trips(list(_WEIGHTED), 2),
         *_plain(["temperature_2m", "precipitation", "rain", "wind_speed_10m"], 2),
@@ -204,12 +203,12 @@ def od_flow(
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("trip_count"),
-            avg2(F.col("trip_duration_minutes")).alias("avg_duration"),
-            avg2(F.col("trip_distance")).alias("avg_trip_distance"),
-            avg2(F.col("average_speed_mph")).alias("avg_speed_mph"),
-            sum2(F.col("total_amount")).alias("total_revenue"),
-            avg2(F.col("total_amount")).alias("avg_total_amount"),
-            avg2(F.col("tip_percentage")).alias("avg_tip_pct"),
+            avg2("trip_duration_minutes").alias("avg_duration"),
+            avg2("trip_distance").alias("avg_trip_distance"),
+            avg2("average_speed_mph").alias("avg_speed_mph"),
+            sum2("total_amount").alias("total_revenue"),
+            avg2("total_amount").alias("avg_total_amount"),
+            avg2("tip_percentage").alias("avg_tip_pct"),
         )
         .filter(F.col("trip_count") >= min_trips)
         .withColumnsRenamed(

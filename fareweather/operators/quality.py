@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 class QualityError(ValueError):
@@ -38,15 +38,19 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
+def invalid_measures() -> dict[str, Column]:
+    return {
+        "null_pickup": F.count_if(F.col("tpep_pickup_datetime").isNull()),
+        "null_dropoff": F.count_if(F.col("tpep_dropoff_datetime").isNull()),
+        "invalid_distance": F.count_if(F.col("trip_distance") <= 0),
+        "invalid_duration": F.count_if(F.col("trip_duration_minutes") <= 0),
+        "invalid_total": F.count_if(F.col("total_amount") <= 0),
+    }
+
+
 def invalid_counts(clean: DataFrame) -> DataFrame:
-    return clean.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col("tpep_pickup_datetime").isNull()).alias("null_pickup"),
-        F.count_if(F.col("tpep_dropoff_datetime").isNull()).alias("null_dropoff"),
-        F.count_if(F.col("trip_distance") <= 0).alias("invalid_distance"),
-        F.count_if(F.col("trip_duration_minutes") <= 0).alias("invalid_duration"),
-        F.count_if(F.col("total_amount") <= 0).alias("invalid_total"),
-    )
+    measures = [c.alias(name) for name, c in invalid_measures().items()]
+    return clean.agg(F.count(F.lit(1)).alias("total_rows"), *measures)
 
 
 def audit_clean(clean: DataFrame) -> DataFrame:
@@ -71,10 +75,14 @@ def audit_daily(daily: DataFrame) -> DataFrame:
 
 
 def check_clean(clean: DataFrame) -> None:
-    found = invalid_counts(clean).first().asDict()
-    if not found.pop("total_rows"):
+    check_clean_counts(invalid_counts(clean).first().asDict())
+
+
+def check_clean_counts(found: Mapping[str, int]) -> None:
+    """``found`` as from :func:`invalid_counts`."""
+    if not found["total_rows"]:
         raise QualityError("clean trips are empty")
-    bad = {name: n for name, n in found.items() if n}
+    bad = {name: n for name, n in found.items() if n and name != "total_rows"}
     if bad:
         raise QualityError(f"clean trips hold invalid values: {bad}")
 
@@ -85,7 +93,10 @@ def check_weather(weather: DataFrame) -> None:
 
 def check_weather_join(hourly_weather: DataFrame) -> None:
     missing = F.count_if(F.col("temperature_2m").isNull())
-    rows, without = hourly_weather.agg(F.count(F.lit(1)), missing).first()
+    check_join_counts(*hourly_weather.agg(F.count(F.lit(1)), missing).first())
+
+
+def check_join_counts(rows: int, without: int) -> None:
     if not rows:
         raise QualityError("the weather join is empty")
     if without:
@@ -98,13 +109,22 @@ def check_tables(tables: Mapping[str, DataFrame]) -> None:
         not_empty(df, name)
 
 
+def check_row_counts(counts: Mapping[str, int]) -> None:
+    """As :func:`check_tables`, from counts taken by the jobs that wrote the tables."""
+    for name, rows in counts.items():
+        if not rows:
+            raise QualityError(f"{name} is empty")
+
+
 def check_predictions(predictions: DataFrame, importance: DataFrame) -> None:
+    # The columns of the table.
     wanted = ["total_trips", "predicted_total_trips", "prediction_error", "absolute_error"]
     not_empty(has_columns(predictions, wanted, "predictions"), "predictions")
     not_empty(importance, "feature importance")
 
 
 def check_clusters(clusters: DataFrame) -> None:
+    # The columns of the table.
     wanted = [
         "zone_id",
         "pickup_borough",

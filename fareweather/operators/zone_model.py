@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
 from fareweather.config import CLEAR, ClusterSettings, ProfileThresholds
 from fareweather.config import HIGH_LABEL, MEDIUM_LABEL
 from fareweather.functions.labels import group_profile
+from fareweather.operators import order_statistics
 from fareweather.functions.numeric import exact_avg, finite, round_even, round_half
 
 #: The model's input in its order.
@@ -38,7 +39,7 @@ FEATURES = (
 
 
 def _mean4(name: str) -> Column:
-    return round_half(exact_avg(F.col(name)), 4)
+    return round_half(exact_avg(name), 4)
 
 
 def zone_features(
@@ -86,27 +87,34 @@ def clip_features(
 ) -> DataFrame:
     """Each feature limited to its own low and high percentile.
 
-    The exact, interpolating percentile suits one row per zone; ``approximate``
-    is meant for other, large tables.
+    The percentiles are exact and interpolated, whatever the number of rows: they are
+    found for all features at once by radix descent. ``approximate`` takes one pass.
     """
-    at = F.percentile_approx if approximate else F.percentile
-    limits = _statistics(zones, **{c: at(F.col(c), [low, high]) for c in FEATURES})
+    if approximate:
+        limits = _statistics(zones, **{c: F.percentile_approx(F.col(c), [low, high]) for c in FEATURES}).asDict()
+    else:
+        limits = order_statistics.percentiles(zones, FEATURES, (low, high))
     return zones.withColumns(
         {
             c: F.least(F.greatest(F.col(c), F.lit(limits[c][0])), F.lit(limits[c][1]))
             for c in FEATURES
-            if limits[c] is not None
+            if limits.get(c) is not None
         }
     )
 
 
 def standardize_features(zones: DataFrame) -> DataFrame:
-    """Zero mean and unit population deviation; constant features only centred."""
-    measured = _statistics(
-        zones,
-        **{f"mean_{c}": F.avg(c) for c in FEATURES},
-        **{f"spread_{c}": F.stddev_pop(c) for c in FEATURES},
-    )
+    """Zero mean and unit population deviation; constant features only centred.
+
+    Both figures come from exact sums, of the values and then of the squares of what
+    differs from the mean, so they do not depend on how the rows are laid out.
+    """
+    means = _statistics(zones, **{f"mean_{c}": exact_avg(c) for c in FEATURES}).asDict()
+    away = {c: f"({c} - double('{means[f'mean_{c}']!r}'))" for c in FEATURES if means[f"mean_{c}"] is not None}
+    spreads = {f"spread_{c}": F.sqrt(exact_avg(f"{x} * {x}")) for c, x in away.items()}
+    measured = dict.fromkeys([f"spread_{c}" for c in FEATURES]) | means
+    if spreads:
+        measured |= _statistics(zones, **spreads).asDict()
 
     def unit(c: str) -> Column:
         mean, spread = measured[f"mean_{c}"], measured[f"spread_{c}"]
@@ -156,7 +164,9 @@ def fit_clusters(ready: DataFrame, settings: ClusterSettings = ClusterSettings()
 
         with ThreadPoolExecutor(settings.parallel_fits) as pool:
             models = list(pool.map(fit, range(settings.starts)))
-        return min(models, key=lambda m: m.summary.trainingCost)
+        # Costs are sums of doubles in the order in which tasks end: what differs in
+        # the last digits is equal, and the first start wins.
+        return min(models, key=lambda m: float(f"{m.summary.trainingCost:.9e}"))
     finally:
         points.unpersist()
 
@@ -185,7 +195,7 @@ def group_summary(
     summary = zones.groupBy(group).agg(
         F.count(F.lit(1)).alias("zone_count"),
         F.sum("total_weather_trips").alias("total_weather_trips"),
-        *[exact_avg(F.col(c)).alias(c) for c in means],
+        *[exact_avg(c).alias(c) for c in means],
     )
     profile = group_profile(
         F.col("avg_demand_lift_pct"),

@@ -91,6 +91,7 @@ FROM (
     SELECT stamp, CAST(stamp AS DATE) - DATE '2024-01-01' AS d, hour(stamp) AS h
     FROM (SELECT DISTINCT date_trunc('hour', ts) AS stamp FROM events WHERE ts IS NOT NULL) hours
   ) parts
+  WHERE (d * 24 + h) % 89 <> 0
 ) measured"""
 
 _CTES["timed"] = """
@@ -632,6 +633,7 @@ UNION ALL
 SELECT pickup_hour, 'Weekends', CAST(sum(total_trips) AS BIGINT)
 FROM hourly_weather h WHERE is_weekend GROUP BY pickup_hour"""
 _FINAL["regroup_zones"] = "SELECT * FROM regrouped"
+_FINAL["regroup_zones_fallback"] = "SELECT * FROM zone_totals"
 _FINAL["map_values"] = "SELECT * FROM zone_map"
 _FINAL["map_impact"] = """
 SELECT map_id, pickup_borough, demand_lift_pct, round(shown, 6) AS display_value,
@@ -701,6 +703,7 @@ _FINAL["forest_checks"] = """
 SELECT count(*) AS prediction_rows, CAST(0 AS BIGINT) AS negative, CAST(0 AS BIGINT) AS wrong_errors,
   CAST(14 AS BIGINT) AS features, 1.0::DOUBLE AS importance_sum
 FROM guesses"""
+_FINAL["report_file_rows"] = _FINAL["cleaning_report"]
 _FINAL["mape"] = """
 SELECT round(ifnull(avg(abs((total_trips - exact_prediction) / total_trips)) * 100, 0.0), 6)
   AS mape_percent
@@ -718,6 +721,7 @@ FROM (SELECT low, width,
   FROM guesses, (SELECT min(absolute_error) AS low,
       (max(absolute_error) - min(absolute_error)) / 60 AS width FROM guesses) ends) binned
 GROUP BY bin, low, width"""
+_FINAL["prediction_aliases"] = _FINAL["daily_prediction_long"]
 _FINAL["prediction_sample"] = """
 SELECT pickup_date, pickup_hour, pickup_borough, pickup_zone, weather_condition, total_trips,
   predicted_total_trips, absolute_error

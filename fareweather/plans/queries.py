@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fareweather.config import HEAVY_RAIN, LIGHT_RAIN, MODERATE_RAIN
 from fareweather.functions.labels import classify_condition, condition_rank
+from fareweather.functions.local import local_rows
 from fareweather.functions.numeric import round_half
 from fareweather.functions.timing import calendar_columns
 from fareweather.operators import (
@@ -173,25 +174,20 @@ def mean_mape(t: Tables) -> DataFrame:
 
 
 def table_counts(t: Tables) -> DataFrame:
-    clean = t.spark.read.parquet(t.published_clean)
-    trips = curation.canonical_trips(clean)
-    enriched = hourly_weather.enrich(t.published_hours, t.settings.conditions)
-    return quality.table_counts(
-        {
-            "fact_trips": curation.fact_trips(clean, t.zones, t.zone_range),
-            "agg_hourly_demand": curation.hourly_demand(t.published_state, t.zones, t.zone_range),
-            "agg_zone_summary": curation.zone_summary(t.published_state, t.zones, t.zone_range),
-            "agg_daily_summary": curation.daily_summary(t.published_state),
-            "agg_hourly_demand_weather": t.published_hours,
-            "daily_zone_metrics": marts.daily_zone_metrics(enriched),
-            "hourly_demand_summary_weather": marts.hourly_summary(enriched),
-            "weather_impact_summary": marts.weather_impact(enriched),
-            "zone_weather_elasticity": marts.zone_elasticity(enriched),
-            "od_flow_weather": marts.od_flow(
-                trips, t.weather, t.zones, t.period, t.settings.min_route_trips, t.zone_range
-            ),
-        }
-    )
+    """Rows of the published tables, as the jobs that wrote them have counted."""
+    return local_rows(t.spark, {"table_name": "STRING", "row_count": "BIGINT"}, t.published_counts.items())
+
+
+def report_file_rows(t: Tables) -> DataFrame:
+    """A section of a report that was written as a file and is read back."""
+    return readers.report_rows(readers.read_report(t.spark, t.report_file), "rows")
+
+
+def prediction_aliases(t: Tables) -> DataFrame:
+    """Predictions of another writer, whose columns have other names."""
+    names = {"total_trips": "y_actual", "predicted_total_trips": "y_pred", "absolute_error": "abs_error"}
+    other = t.mean_predictions.withColumnsRenamed(names)
+    return explore.daily_predictions(explore.named_predictions(other))
 
 
 def cluster_top_zones(t: Tables) -> DataFrame:
@@ -305,7 +301,10 @@ QUERIES: dict[str, Query] = {
     "daily_trend": lambda t: explore.daily_trend(t.published_hours),
     "hourly_pattern": lambda t: explore.hourly_pattern(t.published_hours),
     "hourly_pattern_by_daytype": lambda t: explore.hourly_pattern_by_day_type(t.published_hours),
-    "regroup_zones": lambda t: explore.regroup_zones(filtered(t), t.zone_totals),
+    "regroup_zones": lambda t: explore.zones_or_fallback(filtered(t), t.zone_totals),
+    "regroup_zones_fallback": lambda t: explore.zones_or_fallback(
+        explore.with_value(t.published_hours, "pickup_borough", "NOWHERE"), t.zone_totals
+    ),
     "map_values": zone_map,
     "map_impact": impact_map,
     "map_domain": lambda t: explore.map_domain(zone_map(t)),
@@ -351,6 +350,8 @@ QUERIES: dict[str, Query] = {
         demand_model.error_metrics(t.mean_predictions), "mae", "rmse", "r2", "mape_percent"
     ),
     "run_report_rows": run_report_rows,
+    "report_file_rows": report_file_rows,
+    "prediction_aliases": prediction_aliases,
     "forest_checks": forest_checks,
     "silhouette": lambda t: zone_model.silhouette(
         t.model_input, t.clusters.select("zone_id", "cluster_id")

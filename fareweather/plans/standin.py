@@ -94,8 +94,9 @@ def zones_from_nations(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
-def weather_from_events(events: DataFrame) -> DataFrame:
-    """Weather for every hour in which an event happened."""
+def weather_from_events(events: DataFrame, gaps: bool = True) -> DataFrame:
+    """Weather for the hours in which an event happened; every 89th hour of the month
+    has none, unless ``gaps`` is false."""
     # date_trunc would answer with a zoned timestamp, so the hour is rebuilt
     # from the date.
     hour = F.timestamp_add("HOUR", F.hour("ts"), F.col("ts").cast("date").cast("timestamp_ntz"))
@@ -105,6 +106,8 @@ def weather_from_events(events: DataFrame) -> DataFrame:
         "CAST(hour(at) AS BIGINT) AS h",
         "CAST(datediff(CAST(at AS DATE), DATE'2024-01-01') AS BIGINT) AS d",
     )
+    if gaps:
+        numbered = numbered.where("(d * 24 + h) % 89 <> 0")
     wet = numbered.selectExpr(
         "at",
         "d",
@@ -133,8 +136,9 @@ class Tables:
     written once to the shared folder on first use.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, settings: Settings = SETTINGS):
+    def __init__(self, spark: SparkSession, folder: str, settings: Settings = SETTINGS, gaps: bool = True):
         self.spark = spark
+        self.gaps = gaps
         self.folder = folder.rstrip("/")
         self.run = uuid.uuid4().hex
         self.settings = settings
@@ -154,7 +158,7 @@ class Tables:
 
     @cached_property
     def weather(self) -> DataFrame:
-        return weather_from_events(self.given("events"))
+        return weather_from_events(self.given("events"), self.gaps)
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -273,6 +277,44 @@ class Tables:
         self.zones.write.mode("overwrite").option("header", True).csv(self._path("zones.csv"))
         return self._path("zones.csv")
 
+    @cached_property
+    def report_file(self) -> str:
+        """The run report as the chain writes it: a JSON file."""
+        clean = self.spark.read.parquet(self.published_clean)
+        report = writers.run_report(
+            self.spark,
+            months=list(self.settings.months),
+            rows=cleaning.cleaning_report(self.raw, clean, self.period, self.settings.limits),
+        )
+        return writers.write_report(report, self._path("report.json"))
+
+    @cached_property
+    def published_counts(self) -> dict[str, int]:
+        """Rows of the tables of the chain, counted by the jobs that write them."""
+        trips = curation.canonical_trips(self.spark.read.parquet(self.published_clean))
+        facts = curation.fact_trips(self.spark.read.parquet(self.published_clean), self.zones, self.zone_range)
+        enriched = hourly_weather.enrich(self.published_hours, self.settings.conditions)
+        wanted = {
+            "fact_trips": facts,
+            "agg_hourly_demand": curation.hourly_demand(self.published_state, self.zones, self.zone_range),
+            "agg_zone_summary": curation.zone_summary(self.published_state, self.zones, self.zone_range),
+            "agg_daily_summary": curation.daily_summary(self.published_state),
+            "agg_hourly_demand_weather": self.published_hours,
+            "daily_zone_metrics": marts.daily_zone_metrics(enriched),
+            "hourly_demand_summary_weather": marts.hourly_summary(enriched),
+            "weather_impact_summary": marts.weather_impact(enriched),
+            "zone_weather_elasticity": marts.zone_elasticity(enriched),
+            "od_flow_weather": marts.od_flow(
+                trips, self.weather, self.zones, self.period, self.settings.min_route_trips, self.zone_range
+            ),
+        }
+        counts = {}
+        for name, df in wanted.items():
+            measured = writers.Measured()
+            writers.write_table(df, self._path(f"counted/{name}"), measured=measured)
+            counts[name] = measured.result["rows"]
+        return counts
+
     @cached_property
     def published_clean(self) -> str:
         return self._publish("clean_trips", self.clean)

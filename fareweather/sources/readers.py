@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from fareweather.sources import schemas
+from fareweather.sources import schemas, versions
 from fareweather.sources.periods import Period
 
 
@@ -24,9 +24,12 @@ def require(df: DataFrame, label: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, label: str = "table") -> DataFrame:
-    """Scan one Parquet table, with a clear error when it is absent or empty."""
+    """Scan one Parquet table, with a clear error when it is absent or empty.
+
+    Of a published table the current version is read.
+    """
     try:
-        return require(spark.read.parquet(path), f"{label} at {path}")
+        return require(spark.read.parquet(versions.resolve(spark, path)), f"{label} at {path}")
     except AnalysisException as error:
         raise MissingInput(f"{label} not found at {path}") from error
 
@@ -58,11 +61,21 @@ def scan_trips(
     brought to the declared types; months that are stored alike share one scan.
     """
     alike: dict[str, list[str]] = {}
+    stored = {}
     for path in paths:
-        stored = read_table(spark, path, "trip file").schema
-        alike.setdefault(stored.simpleString(), []).append(path)
+        try:
+            stored[path] = spark.read.parquet(path)
+        except AnalysisException as error:
+            raise MissingInput(f"trip file not found at {path}") from error
+        alike.setdefault(stored[path].schema.simpleString(), []).append(path)
     if not alike:
         raise MissingInput("no trip files named")
+    # One job over the footers of all files tells which of them hold rows.
+    marks = [df.select(F.lit(path).alias("path")) for path, df in stored.items()]
+    filled = {row["path"] for row in reduce(DataFrame.union, marks).distinct().collect()}
+    for path in stored:
+        if path not in filled:
+            raise MissingInput(f"trip file at {path} holds no rows")
     scans = [
         as_declared(spark.read.parquet(*group), schema, f"trip file {group[0]}")
         for group in alike.values()
@@ -168,7 +181,7 @@ def read_zone_shapes(spark: SparkSession, path: str) -> DataFrame | None:
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return require(spark.read.json(path), f"report at {path}")
+        return require(spark.read.json(versions.resolve(spark, path)), f"report at {path}")
     except AnalysisException as error:
         raise MissingInput(f"report not found at {path}") from error
 

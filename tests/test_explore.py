@@ -37,14 +37,6 @@ def test_weighted_median_matches_brute_force(spark, case):
     assert explore.weighted_median(df, "v", "w").first()[0] == median_by_hand(CASES[case])
 
 
-def test_few_slices_stay_exact(spark):
-    rows = CASES["random"]
-    df = spark.createDataFrame(rows, "v double, w long")
-    for levels, slices in ((0, 2), (1, 2), (3, 3)):
-        got = explore.weighted_medians(df, {"m": "v"}, "w", levels, slices).first()
-        assert got["weighted_median"] == median_by_hand(rows)
-
-
 def test_missing_columns_give_zero(spark):
     df = spark.range(3)
     assert explore.weighted_median(df, "v", "id").first()[0] == 0.0

@@ -242,3 +242,26 @@ def test_order_inside_a_cluster_follows_its_profile(spark):
 
 def test_settings_can_change():
     assert replace(ClusterSettings(), starts=1).starts == 1
+
+
+def test_error_figures_and_features_equal_to_the_bit(spark):
+    draw = np.random.default_rng(11)
+    rows = [(int(n), float(g)) for n, g in zip(draw.integers(0, 50_000, 3000), draw.uniform(0, 50_000, 3000))] + [(0, 1 / 3)]
+    df = spark.createDataFrame(rows, "total_trips long, exact_prediction double")
+    got = [tuple(demand_model.error_metrics(d).first()) for d in (df.repartition(1), df.repartition(7), df.orderBy(F.desc("exact_prediction")))]
+    assert got[0] == got[1] == got[2]
+    y, p = np.array(rows).T
+    n, mae, rmse, r2, mape = got[0]
+    assert n == 3001 and mae == pytest.approx(np.abs(y - p).mean()) and rmse == pytest.approx(np.sqrt(((y - p) ** 2).mean()))
+    assert r2 == pytest.approx(1 - ((y - p) ** 2).sum() / ((y - y.mean()) ** 2).sum())
+    assert mape == pytest.approx((np.abs(y - p)[y != 0] / y[y != 0]).mean() * 100)
+    points = zones(spark, 300)
+    ways = [zone_model.standardize_features(d).orderBy("zone_id").select(*zone_model.FEATURES).collect() for d in (points.repartition(1), points.repartition(9))]
+    assert ways[0] == ways[1]
+    none = demand_model.error_metrics(df.where("false")).first()
+    assert none["test_rows"] == 0 and none["mae"] is None and none["mape_percent"] == 0.0
+
+
+def test_parts_of_a_fit_follow_from_the_rows():
+    parts = ForestSettings().parts
+    assert [parts(n) for n in (0, 1, 2_500, 2_501, 17_000, 200_000, 3_200_000, 10_000_000)] == [1, 1, 1, 2, 7, 64, 64, 200]

@@ -107,7 +107,8 @@ def test_two_folders_of_one_name_and_rewritten_input(spark, small, tmp_path):
     first = Tables(spark, small).published_hours
     count = first.count()
     other = tmp_path / "sf0.001"
-    shutil.copytree(small, other)
+    shutil.copytree(small, other, copy_function=shutil.copyfile)
+    other.chmod(0o755)  # the given folder may be read-only, and a copy takes that on
     one, two = Tables(spark, str(other)), Tables(spark, str(other))
     assert one.published_hours.count() == two.published_hours.count() == first.count() == count
     seen = tables(spark, str(other))
