@@ -18,11 +18,18 @@ each of which costs the driver a call into the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from functools import cache
 
+from pyspark import SparkContext
+from pyspark.sql import Column, DataFrame, functions as F
 
-def round_half(x: Column, digits: int) -> Column:
+
+def round_half(x: Column | str, digits: int) -> Column:
     """Round half away from zero on the scaled double; never gives -0.0."""
+    if isinstance(x, str):
+        size = f"abs({x} * {10**digits}D)"
+        away = f"(rint({size}) + IF({size} - rint({size}) = 0.5D, 1D, 0D))"
+        return _expr(f"signum({x}) * {away} / {10**digits}D + 0D")
     scale = F.lit(float(10**digits))
     size = F.abs(x * scale)
     whole = F.rint(size)
@@ -30,6 +37,12 @@ def round_half(x: Column, digits: int) -> Column:
     return F.signum(x) * away / scale + F.lit(0.0)
 
 
+def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
+    """Columns rounded half away from zero. After an aggregation this keeps the
+    aggregates small: rounding names its argument several times."""
+    return df.withColumns({name: round_half(name, digits) for name in names})
+
+
 def round_even(x: Column, digits: int) -> Column:
     """Round half to even, as numeric Python libraries do."""
     scale = F.lit(float(10**digits))
@@ -41,40 +54,52 @@ _COARSE, _FINE, _LARGE, _LIMB = 10_000, 1_000_000_000_000, 100_000_000_000, 20
 LIMBS = ("high", "low", "rest", "apart", "count")
 
 
-def _cut(x: str, suffix: str = "") -> dict[str, str]:
+def _cut(x: str) -> dict[str, str]:
     """SQL of the parts of a value: limbs of its units, its rest, or itself apart."""
     x = f"CAST({x} AS DOUBLE)"
-    plain = f"CASE WHEN abs({x}) < {_LARGE} THEN {x} END"
+    plain = f"IF(abs({x}) < {_LARGE}, {x}, NULL)"
     units = f"rint({plain} * {_COARSE}D)"
-    whole = f"CAST({units} AS BIGINT)"
     return {
-        "high": f"shiftright({whole}, {_LIMB})",
-        "low": f"({whole} & {(1 << _LIMB) - 1})",
+        "high": f"shiftright(CAST({units} AS BIGINT), {_LIMB})",
+        "low": f"(CAST({units} AS BIGINT) & {(1 << _LIMB) - 1})",
         "rest": f"CAST(rint(({plain} - {units} / {_COARSE}D) * {_FINE}D) AS BIGINT)",
-        "apart": f"CASE WHEN NOT abs({x}) < {_LARGE} THEN {x} END",
+        "apart": f"IF(abs({x}) < {_LARGE}, NULL, {x})",
     }
 
 
-def _weighted_cut(x: str, weight: str) -> dict[str, str]:
+def _weighted_cut(x: str, weight: str, whole: bool) -> dict[str, str]:
     """SQL of the parts of ``x * weight``, exact for the whole part of the weight."""
+    parts = _cut(x)
+    if whole:
+        return {k: f"{part} * {weight}" for k, part in parts.items()}
     weight = f"CAST({weight} AS DOUBLE)"
-    value, whole = f"CASE WHEN {weight} IS NOT NULL THEN {x} END", f"CAST(floor({weight}) AS BIGINT)"
     left = f"({weight} - floor({weight}))"
-    parts, more = _cut(value), _cut(f"{value} * {left}")
-    both = {k: f"{parts[k]} * {whole} + CASE WHEN {left} > 0 THEN {more[k]} ELSE 0 END" for k in ("high", "low", "rest")}
-    return {**both, "apart": f"({parts['apart']}) * {weight}"}
+    more = _cut(f"{x} * {left}")
+    both = {k: f"{parts[k]} * CAST(floor({weight}) AS BIGINT) + IF({left} > 0, {more[k]}, 0)" for k in ("high", "low", "rest")}
+    return {**both, "apart": f"{parts['apart']} * {weight}"}
 
 
 def _total(parts: dict[str, str]) -> str:
     """SQL of the double that sums of parts stand for."""
     high, low, rest = [f"coalesce({parts[k]}, 0)" for k in ("high", "low", "rest")]
-    units = f"(CAST({high} AS DOUBLE) * {1 << _LIMB}D + CAST({low} AS DOUBLE))"
-    total = f"{units} / {_COARSE}D + {rest} / {_FINE}D + coalesce({parts['apart']}, 0D)"
-    return f"CASE WHEN {parts['count']} > 0 THEN {total} END"
+    total = f"({high} * {1 << _LIMB}D + {low}) / {_COARSE}D + {rest} / {_FINE}D + coalesce({parts['apart']}, 0D)"
+    return f"IF({parts['count']} > 0, {total}, NULL)"
+
+
+def _summed(parts: dict[str, str], counted: str, where: str = "") -> str:
+    """SQL of the total of parts, of the rows in ``where`` if that is given."""
+    only = f" FILTER (WHERE {where})" if where else ""
+    return _total({k: f"sum({v}){only}" for k, v in parts.items()} | {"count": f"count({counted}){only}"})
 
 
-def _summed(parts: dict[str, str], counted: str) -> str:
-    return _total({k: f"sum({v})" for k, v in parts.items()} | {"count": f"count({counted})"})
+@cache
+def _parsed(text: str, jvm: int) -> Column:
+    return F.expr(text)
+
+
+def _expr(text: str) -> Column:
+    """An expression, parsed once for each JVM; columns are values and can be used again."""
+    return _parsed(text, id(SparkContext._gateway))
 
 
 def _columns(x: Column) -> dict[str, Column]:
@@ -101,19 +126,19 @@ def _total_column(parts: dict[str, Column], count: Column) -> Column:
 def exact_sum(x: Column | str) -> Column:
     """Sum to 12 decimals, whatever the order; null without a value."""
     if isinstance(x, str):
-        return F.expr(_summed(_cut(x), x))
+        return _expr(_summed(_cut(x), x))
     return _total_column({k: F.sum(v) for k, v in _columns(x).items()}, F.count(x))
 
 
 def exact_avg(x: Column | str) -> Column:
     if isinstance(x, str):
-        return F.expr(f"try_divide({_summed(_cut(x), x)}, count({x}))")
+        return _expr(f"try_divide({_summed(_cut(x), x)}, count({x}))")
     return F.try_divide(exact_sum(x), F.count(x))
 
 
 def sum_state(name: str) -> list[Column]:
     """Aggregates that hold an exact sum of a column and can be summed on."""
-    parts = [F.expr(f"sum({part})").alias(f"{name}_{k}") for k, part in _cut(name).items()]
+    parts = [_expr(f"sum({part})").alias(f"{name}_{k}") for k, part in _cut(name).items()]
     return [*parts, F.count(name).alias(f"{name}_count")]
 
 
@@ -123,11 +148,11 @@ def _state(name: str) -> str:
 
 def state_sum(name: str) -> Column:
     """As :func:`exact_sum` of the column whose :func:`sum_state` is given, to the bit."""
-    return F.expr(_state(name))
+    return _expr(_state(name))
 
 
 def state_avg(name: str) -> Column:
-    return F.expr(f"try_divide({_state(name)}, sum({name}_count))")
+    return _expr(f"try_divide({_state(name)}, sum({name}_count))")
 
 
 def sum2(x: Column | str) -> Column:
@@ -148,21 +173,29 @@ def _weighted_sum(x: Column, weight: Column) -> Column:
     return _total_column({**both, "apart": F.sum(parts["apart"] * weight)}, F.count(value))
 
 
-def weighted_mean(x: Column | str, weight: Column | str) -> Column:
-    """``sum(x*w)/sum(w)``: a null ``x`` leaves the numerator only."""
+def _mean_of_text(x: str, weight: str, whole: bool, where: str = "") -> Column:
+    only = f" FILTER (WHERE {where})" if where else ""
+    top = _summed(_weighted_cut(x, weight, whole), f"IF({weight} IS NULL, NULL, {x})", where)
+    below = f"CAST(sum({weight}){only} AS DOUBLE)" if whole else _summed(_cut(weight), weight, where)
+    return _expr(f"try_divide({top}, {below})")
+
+
+def weighted_mean(x: Column | str, weight: Column | str, whole: bool = False) -> Column:
+    """``sum(x*w)/sum(w)``: a null ``x`` leaves the numerator only.
+
+    ``whole``: the weight, as SQL text, is of an integer type.
+    """
     if isinstance(x, str) and isinstance(weight, str):
-        top = _summed(_weighted_cut(x, weight), f"CASE WHEN {weight} IS NOT NULL THEN {x} END")
-        return F.expr(f"try_divide({top}, {_summed(_cut(weight), weight)})")
+        return _mean_of_text(x, weight, whole)
     x, weight = [F.expr(c) if isinstance(c, str) else c for c in (x, weight)]
     return F.try_divide(_weighted_sum(x, weight), exact_sum(weight))
 
 
-def strict_weighted_mean(x: Column | str, weight: Column | str) -> Column:
+def strict_weighted_mean(x: Column | str, weight: Column | str, whole: bool = False) -> Column:
     """Weighted mean whose both sums skip rows without a number or a weight > 0."""
     if isinstance(x, str) and isinstance(weight, str):
-        x, weight = f"CAST({x} AS DOUBLE)", f"CAST({weight} AS DOUBLE)"
-        usable = f"{x} IS NOT NULL AND NOT isnan({x}) AND {weight} > 0 AND NOT isnan({weight})"
-        return weighted_mean(f"(CASE WHEN {usable} THEN {x} END)", f"(CASE WHEN {usable} THEN {weight} END)")
+        number = f"{x} IS NOT NULL AND NOT isnan(CAST({x} AS DOUBLE)) AND {weight} > 0"
+        return _mean_of_text(x, weight, whole, number if whole else f"{number} AND NOT isnan(CAST({weight} AS DOUBLE))")
     x, weight = [(F.expr(c) if isinstance(c, str) else c).cast("double") for c in (x, weight)]
     usable = x.isNotNull() & ~F.isnan(x) & (weight > 0) & ~F.isnan(weight)
     return weighted_mean(F.when(usable, x), F.when(usable, weight))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from fareweather.config import CleaningLimits
-from fareweather.functions.numeric import round_half, state_avg, state_sum, sum_state
+from fareweather.functions.numeric import rounded, state_avg, state_sum, sum_state
 from fareweather.functions.timing import day_name, is_weekend
 from fareweather.operators.lookups import attach_zone, bounded
 
@@ -121,32 +121,33 @@ def trip_state(trips: DataFrame) -> DataFrame:
     )
 
 
-def _trip_measures(speed: bool) -> list:
-    def mean(name: str, out: str) -> Column:
-        return round_half(state_avg(name), 2).alias(out)
+_MEANS = {
+    "avg_trip_distance": "trip_distance",
+    "avg_trip_duration_minutes": "trip_duration_minutes",
+    "avg_total_amount": "total_amount",
+    "avg_tip_percentage": "tip_percentage",
+    "avg_speed_mph": "average_speed_mph",
+}
+_TOTALS = {"total_revenue": "total_amount", "total_tip": "tip_amount"}
 
-    measures = [
+
+def _trip_measures(state: DataFrame, *keys: str, more: tuple[Column, ...] = ()) -> DataFrame:
+    """Counts, totals and means of the state by some keys, rounded to cents."""
+    grouped = state.groupBy(*keys).agg(
         F.sum("trips").alias("total_trips"),
         F.sum("passengers").alias("total_passengers"),
-        mean("trip_distance", "avg_trip_distance"),
-        mean("trip_duration_minutes", "avg_trip_duration_minutes"),
-        round_half(state_sum("total_amount"), 2).alias("total_revenue"),
-        mean("total_amount", "avg_total_amount"),
-        round_half(state_sum("tip_amount"), 2).alias("total_tip"),
-        mean("tip_percentage", "avg_tip_percentage"),
-    ]
-    if speed:
-        measures.append(mean("average_speed_mph", "avg_speed_mph"))
-    return measures
+        *[state_avg(name).alias(out) for out, name in _MEANS.items()],
+        *[state_sum(name).alias(out) for out, name in _TOTALS.items()],
+        *more,
+    )
+    return rounded(grouped, 2, *_MEANS, *_TOTALS)
 
 
 def hourly_demand(
     state: DataFrame, zones: DataFrame, zone_range: tuple[int, int] | None = ZONE_RANGE
 ) -> DataFrame:
     """One row per date, hour and pickup zone, from :func:`trip_state`."""
-    grouped = state.groupBy("pickup_date", "pickup_hour", "pickup_location_id").agg(
-        *_trip_measures(speed=True)
-    )
+    grouped = _trip_measures(state, "pickup_date", "pickup_hour", "pickup_location_id")
     named = attach_zone(grouped, zones, "pickup_location_id", "pickup", zone_range)
     return named.select(
         "pickup_date",
@@ -172,11 +173,8 @@ def zone_summary(
     state: DataFrame, zones: DataFrame, zone_range: tuple[int, int] | None = ZONE_RANGE
 ) -> DataFrame:
     """One row per pickup zone, from :func:`trip_state`."""
-    grouped = state.groupBy("pickup_location_id").agg(
-        *_trip_measures(speed=True),
-        F.min("first_pickup").alias("first_pickup_datetime"),
-        F.max("last_pickup").alias("last_pickup_datetime"),
-    )
+    span = (F.min("first_pickup").alias("first_pickup_datetime"), F.max("last_pickup").alias("last_pickup_datetime"))
+    grouped = _trip_measures(state, "pickup_location_id", more=span)
     named = attach_zone(grouped, zones, "pickup_location_id", "pickup", zone_range, True)
     return named.select(
         "pickup_location_id",
@@ -200,8 +198,7 @@ def zone_summary(
 def daily_summary(state: DataFrame) -> DataFrame:
     """One row per date, from :func:`trip_state`."""
     return (
-        state.groupBy("pickup_date")
-        .agg(*_trip_measures(speed=False))
+        _trip_measures(state, "pickup_date")
         .select(
             "pickup_date",
             day_name(F.col("pickup_date")).alias("pickup_day_name"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import IntegralType
 
 from fareweather.config import CLEAR
 from fareweather.functions.labels import condition_rank
@@ -144,7 +145,8 @@ def weighted_average(df: DataFrame, value: str, weight: str) -> Column:
     """
     if value not in df.columns or weight not in df.columns:
         return F.lit(0.0)
-    return F.coalesce(strict_weighted_mean(value, weight), F.lit(0.0))
+    whole = isinstance(df.schema[weight].dataType, IntegralType)
+    return F.coalesce(strict_weighted_mean(value, weight, whole), F.lit(0.0))
 
 
 def weighted_medians(df: DataFrame, values: Mapping[str, str], weight: str) -> DataFrame:
@@ -273,7 +275,7 @@ def regroup_zones(hourly: DataFrame, fallback: DataFrame) -> DataFrame:
     if "total_revenue" in hourly.columns:
         measures.append(F.coalesce(exact_sum("total_revenue"), F.lit(0.0)).alias("total_revenue"))
     measures += [
-        strict_weighted_mean(name, "total_trips").alias(name)
+        strict_weighted_mean(name, "total_trips", whole=True).alias(name)
         for name in _ZONE_METRICS
         if name in hourly.columns
     ]

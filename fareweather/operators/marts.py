@@ -11,13 +11,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from fareweather.config import CLEAR, CleaningLimits, ConditionThresholds, SensitivityThresholds
 from fareweather.functions.labels import condition_rank, sensitivity_label
 from fareweather.functions.numeric import (
-    avg2,
     delta,
     exact_avg,
     exact_sum,
     lift_pct,
-    round_half,
-    sum2,
+    rounded,
     weighted_mean,
 )
 from fareweather.operators.hourly_weather import classified_weather
@@ -42,25 +40,22 @@ _DELTAS = {
 }
 
 
-def _by_trips(names: list[str], digits: int) -> list[Column]:
-    return [
-        round_half(weighted_mean(_WEIGHTED[name], "total_trips"), digits).alias(name)
-        for name in names
-    ]
+def _by_trips(names: list[str]) -> list[Column]:
+    return [weighted_mean(_WEIGHTED[name], "total_trips", whole=True).alias(name) for name in names]
 
 
-def _plain(names: list[str], digits: int) -> list[Column]:
-    return [round_half(exact_avg(n), digits).alias(f"avg_{n}") for n in names]
+def _plain(names: list[str]) -> list[Column]:
+    return [exact_avg(n).alias(f"avg_{n}") for n in names]
 
 
-def _per_zone_hour(digits: int) -> Column:
+def _per_zone_hour() -> Column:
     ratio = F.sum("total_trips").cast("double") / F.count(F.lit(1))
-    return round_half(ratio, digits).alias("avg_trips_per_zone_hour")
+    return ratio.alias("avg_trips_per_zone_hour")
 
 
 def daily_zone_metrics(enriched: DataFrame) -> DataFrame:
-    trips = F.sum("total_trips").cast("double")
-    return enriched.groupBy(
+    weather = ["temperature_2m", "precipitation", "rain", "snowfall", "wind_speed_10m"]
+    grouped = enriched.groupBy(
         "pickup_date",
         F.col("pickup_location_id").alias("zone_id"),
         "pickup_borough",
@@ -70,35 +65,40 @@ def daily_zone_metrics(enriched: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("active_hours"),
         F.sum("total_trips").alias("trip_count"),
         F.sum("total_passengers").alias("total_passengers"),
-        sum2("total_revenue").alias("total_revenue"),
-        sum2("total_tip").alias("total_tip"),
-        round_half(F.try_divide(exact_sum("total_revenue"), trips), 2).alias("avg_fare"),
-        *_by_trips(list(_WEIGHTED), 2),
-        *_plain(["temperature_2m", "precipitation", "rain", "snowfall", "wind_speed_10m"], 2),
+        exact_sum("total_revenue").alias("total_revenue"),
+        exact_sum("total_tip").alias("total_tip"),
+        F.try_divide(exact_sum("total_revenue"), F.sum("total_trips").cast("double")).alias("avg_fare"),
+        *_by_trips(list(_WEIGHTED)),
+        *_plain(weather),
     )
+    return rounded(grouped, 2, "total_revenue", "total_tip", "avg_fare", *_WEIGHTED, *[f"avg_{n}" for n in weather])
 
 
 def hourly_summary(enriched: DataFrame) -> DataFrame:
-    return enriched.groupBy("pickup_hour", "pickup_borough", "weather_condition").agg(
+    weather = ["temperature_2m", "precipitation", "rain", "wind_speed_10m"]
+    grouped = enriched.groupBy("pickup_hour", "pickup_borough", "weather_condition").agg(
         F.count(F.lit(1)).alias("total_zone_hours"),
         F.sum("total_trips").alias("total_trips"),
         F.sum("total_passengers").alias("total_passengers"),
-        sum2("total_revenue").alias("total_revenue"),
-        sum2("total_tip").alias("total_tip"),
-        _per_zone_hour(2),
-        *_by_trips(list(_WEIGHTED), 2),
-        *_plain(["temperature_2m", "precipitation", "rain", "wind_speed_10m"], 2),
+        exact_sum("total_revenue").alias("total_revenue"),
+        exact_sum("total_tip").alias("total_tip"),
+        _per_zone_hour(),
+        *_by_trips(list(_WEIGHTED)),
+        *_plain(weather),
     )
+    means = ["avg_trips_per_zone_hour", *_WEIGHTED, *[f"avg_{n}" for n in weather]]
+    return rounded(grouped, 2, "total_revenue", "total_tip", *means)
 
 
 def _reaction(enriched: DataFrame, keys: list, plain: list[str]) -> DataFrame:
-    return enriched.groupBy(*keys, "weather_condition").agg(
+    grouped = enriched.groupBy(*keys, "weather_condition").agg(
         F.count(F.lit(1)).alias("total_zone_hours"),
         F.sum("total_trips").alias("total_trips"),
-        _per_zone_hour(4),
-        *_by_trips(list(_DELTAS), 4),
-        *_plain(plain, 4),
+        _per_zone_hour(),
+        *_by_trips(list(_DELTAS)),
+        *_plain(plain),
     )
+    return rounded(grouped, 4, "avg_trips_per_zone_hour", *_DELTAS, *[f"avg_{n}" for n in plain])
 
 
 def against_baseline(df: DataFrame, over: list, baseline: str = CLEAR) -> DataFrame:
@@ -203,12 +203,12 @@ def od_flow(
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("trip_count"),
-            avg2("trip_duration_minutes").alias("avg_duration"),
-            avg2("trip_distance").alias("avg_trip_distance"),
-            avg2("average_speed_mph").alias("avg_speed_mph"),
-            sum2("total_amount").alias("total_revenue"),
-            avg2("total_amount").alias("avg_total_amount"),
-            avg2("tip_percentage").alias("avg_tip_pct"),
+            exact_avg("trip_duration_minutes").alias("avg_duration"),
+            exact_avg("trip_distance").alias("avg_trip_distance"),
+            exact_avg("average_speed_mph").alias("avg_speed_mph"),
+            exact_sum("total_amount").alias("total_revenue"),
+            exact_avg("total_amount").alias("avg_total_amount"),
+            exact_avg("tip_percentage").alias("avg_tip_pct"),
         )
         .filter(F.col("trip_count") >= min_trips)
         .withColumnsRenamed(
@@ -218,6 +218,8 @@ def od_flow(
             }
         )
     )
+    measures = ["avg_duration", "avg_trip_distance", "avg_speed_mph", "total_revenue", "avg_total_amount", "avg_tip_pct"]
+    flows = rounded(flows, 2, *measures)
     flows = attach_zone(flows, zones, "origin_location_id", "origin", zone_range)
     flows = attach_zone(flows, zones, "destination_location_id", "destination", zone_range)
     return flows.select(

@@ -281,8 +281,8 @@ QUERIES: dict[str, Query] = {
     "weather_coverage": lambda t: hourly_weather.weather_coverage(t.hourly_weather),
     "precipitation_effect": lambda t: hourly_weather.precipitation_effect(t.hourly_weather),
     # marts
-    "daily_zone_metrics": lambda t: marts.daily_zone_metrics(t.enriched),
-    "hourly_summary_weather": lambda t: marts.hourly_summary(t.enriched),
+    "daily_zone_metrics": lambda t: t.daily_metrics,
+    "hourly_summary_weather": lambda t: t.hourly_metrics,
     "weather_impact": lambda t: marts.in_condition_order(t.impact),
     "zone_elasticity": lambda t: t.elasticity,
     "od_flow": lambda t: t.flows,

@@ -204,6 +204,14 @@ class Tables:
     def elasticity(self) -> DataFrame:
         return marts.zone_elasticity(self.enriched, self.settings.sensitivity)
 
+    @cached_property
+    def daily_metrics(self) -> DataFrame:
+        return marts.daily_zone_metrics(self.enriched)
+
+    @cached_property
+    def hourly_metrics(self) -> DataFrame:
+        return marts.hourly_summary(self.enriched)
+
     @cached_property
     def flows(self) -> DataFrame:
         return marts.od_flow(

@@ -20,6 +20,8 @@ def tune(builder: SparkSession.Builder) -> SparkSession.Builder:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
+        # Else every column object asks the JVM several times where it was written.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
 
 
