@@ -194,13 +194,33 @@ def weighted_mean(x: Column | str, weight: Column | str, whole: bool = False) ->
 def strict_weighted_mean(x: Column | str, weight: Column | str, whole: bool = False) -> Column:
     """Weighted mean whose both sums skip rows without a number or a weight > 0."""
     if isinstance(x, str) and isinstance(weight, str):
-        number = f"{x} IS NOT NULL AND NOT isnan(CAST({x} AS DOUBLE)) AND {weight} > 0"
+        number = _usable(x, weight)
         return _mean_of_text(x, weight, whole, number if whole else f"{number} AND NOT isnan(CAST({weight} AS DOUBLE))")
     x, weight = [(F.expr(c) if isinstance(c, str) else c).cast("double") for c in (x, weight)]
     usable = x.isNotNull() & ~F.isnan(x) & (weight > 0) & ~F.isnan(weight)
     return weighted_mean(F.when(usable, x), F.when(usable, weight))
 
 
+def _usable(x: str, weight: str) -> str:
+    return f"{x} IS NOT NULL AND NOT isnan(CAST({x} AS DOUBLE)) AND {weight} > 0"
+
+
+def weighted_state(name: str, weight: str) -> list[Column]:
+    """Aggregates that hold a strict weighted mean of a column, with a weight of an
+    integer type, and can be summed on."""
+    only = f" FILTER (WHERE {_usable(name, weight)})"
+    parts = {**_weighted_cut(name, weight, True), "weight": weight}
+    sums = [_expr(f"sum({part}){only}").alias(f"{name}_by_{k}") for k, part in parts.items()]
+    return [*sums, _expr(f"count({name}){only}").alias(f"{name}_by_count")]
+
+
+def weighted_state_mean(name: str) -> Column:
+    """As :func:`strict_weighted_mean` of the column whose :func:`weighted_state` is
+    given, to the bit."""
+    total = _total({k: f"sum({name}_by_{k})" for k in LIMBS})
+    return _expr(f"try_divide({total}, CAST(sum({name}_by_weight) AS DOUBLE))")
+
+
 def lift_pct(x: Column, base: Column) -> Column:
     """Percentage above the baseline, two decimals, null on a zero baseline."""
     return round_half(F.try_divide(x - base, base) * 100.0, 2)

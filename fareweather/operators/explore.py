@@ -174,6 +174,11 @@ def rainy_day_share(hourly_weather: DataFrame, more_than: float = 0.1) -> DataFr
         .groupBy("pickup_date")
         .agg(exact_avg("rain").alias("rain"))
     )
+    return share_of_rainy_days(days, more_than)
+
+
+def share_of_rainy_days(days: DataFrame, more_than: float = 0.1) -> DataFrame:
+    """The share from the mean rain of each day."""
     wet = F.count_if(F.col("rain") > more_than)
     share = F.try_divide(wet.cast("double"), F.count(F.lit(1))) * 100.0
     return days.agg(F.coalesce(share, F.lit(0.0)).alias("rainy_day_share"))
@@ -248,9 +253,9 @@ def hourly_pattern_by_day_type(hourly_weather: DataFrame) -> DataFrame:
 
 # --- zones -------------------------------------------------------------------
 
-_ZONE = ("pickup_location_id", "pickup_borough", "pickup_zone")
+ZONE = ("pickup_location_id", "pickup_borough", "pickup_zone")
 #: The measures of a zone, those that a table has.
-_ZONE_METRICS = (
+ZONE_METRICS = (
     "avg_total_amount",
     "avg_trip_duration_minutes",
     "avg_trip_distance",
@@ -267,19 +272,19 @@ def regroup_zones(hourly: DataFrame, fallback: DataFrame) -> DataFrame:
     input use :func:`zones_or_fallback`. A zone-hour without a metric is left
     out for that metric only.
     """
-    if not set(_ZONE) | {"total_trips"} <= set(hourly.columns):
+    if not set(ZONE) | {"total_trips"} <= set(hourly.columns):
         return fallback
     trips = F.coalesce(F.col("total_trips").cast("bigint"), F.lit(0))
-    work = hourly.dropna(subset=list(_ZONE)).withColumn("total_trips", trips)
+    work = hourly.dropna(subset=list(ZONE)).withColumn("total_trips", trips)
     measures = [F.sum("total_trips").alias("total_trips")]
     if "total_revenue" in hourly.columns:
         measures.append(F.coalesce(exact_sum("total_revenue"), F.lit(0.0)).alias("total_revenue"))
     measures += [
         strict_weighted_mean(name, "total_trips", whole=True).alias(name)
-        for name in _ZONE_METRICS
+        for name in ZONE_METRICS
         if name in hourly.columns
     ]
-    return work.groupBy(*_ZONE).agg(*measures)
+    return work.groupBy(*ZONE).agg(*measures)
 
 
 def zones_or_fallback(hourly: DataFrame, fallback: DataFrame) -> DataFrame:

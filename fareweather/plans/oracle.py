@@ -633,6 +633,8 @@ UNION ALL
 SELECT pickup_hour, 'Weekends', CAST(sum(total_trips) AS BIGINT)
 FROM hourly_weather h WHERE is_weekend GROUP BY pickup_hour"""
 _FINAL["regroup_zones"] = "SELECT * FROM regrouped"
+_FINAL["cube_overview"] = _FINAL["overview_kpis"]
+_FINAL["cube_regroup"] = _FINAL["regroup_zones"]
 _FINAL["regroup_zones_fallback"] = "SELECT * FROM zone_totals"
 _FINAL["map_values"] = "SELECT * FROM zone_map"
 _FINAL["map_impact"] = """

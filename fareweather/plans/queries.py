@@ -13,6 +13,7 @@ from fareweather.functions.numeric import round_half
 from fareweather.functions.timing import calendar_columns
 from fareweather.operators import (
     cleaning,
+    cube,
     curation,
     demand_model,
     explore,
@@ -305,6 +306,10 @@ QUERIES: dict[str, Query] = {
     "regroup_zones_fallback": lambda t: explore.zones_or_fallback(
         explore.with_value(t.published_hours, "pickup_borough", "NOWHERE"), t.zone_totals
     ),
+    "cube_overview": lambda t: cube.overview_kpis(t.published_cube),
+    "cube_regroup": lambda t: cube.regroup_zones(
+        t.published_cube.filtered(_BOROUGH, _WET, explore.WEEKDAYS)
+    ),
     "map_values": zone_map,
     "map_impact": impact_map,
     "map_domain": lambda t: explore.map_domain(zone_map(t)),

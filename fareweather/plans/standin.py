@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fareweather.config import CleaningLimits, Settings
 from fareweather.operators import (
     cleaning,
+    cube,
     curation,
     demand_model,
     hourly_weather,
@@ -338,6 +339,13 @@ class Tables:
         """Zone-hours with weather as interactive queries read them."""
         return self.spark.read.parquet(self._publish("hourly_weather", self.hourly_weather))
 
+    @cached_property
+    def published_cube(self) -> cube.Cube:
+        """The cube of zone-hours as interactive queries read it."""
+        enriched = hourly_weather.enrich(self.published_hours, self.settings.conditions)
+        write = lambda name, df: self.spark.read.parquet(self._publish(f"cube_{name}", df))
+        return cube.build(enriched).each(write)
+
     @cached_property
     def published_training(self) -> DataFrame:
         """Training rows as the models read them: from a written table."""
