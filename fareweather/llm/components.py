@@ -38,7 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = store.written(edges, "edges")
     seen = None
     while True:
-        edges = store.written(_small(_large(edges)), "edges")
+        before, edges = edges, store.written(_small(_large(edges)), "edges")
+        store.drop(before)
         now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("bit_xor(xxhash64(b, a, 7))")).first()
         if now == seen:
             break

@@ -6,13 +6,16 @@ a percentage. Equal sets are one class; the rest runs on one document of each.
 1. A sketch of fixed size counts the shingles of all documents. It gives a global
    order, rare first; two linked sets must share one of their first few shingles
    (their prefixes), so documents meet in the buckets of these shingles only.
+   Most prefix shingles stand in one document only; they are dropped by exact count
+   before anything is attached to the rest.
 2. Shingles are hashed into groups, and a set becomes the point of its group
    counts. In a bucket the points are indexed in an R-tree: the summed minima of a
    point and a node's upper corner bound the overlap with all below the node.
 3. Of the pairs that survive, a bucket passes on a spanning forest, so a group of m
-   near copies costs m-1 pairs. These are verified on the whole sets. Where one fails,
-   the buckets of its documents are gone over again with count vectors of many more
-   groups: first a forest between what is not connected yet, at last every pair that
+   near copies costs m-1 pairs. Count vectors of many more groups bound these once more,
+   and what is left is verified on the whole sets. Where one fails,
+   the buckets of its documents are gone over again with the longer count vectors:
+   first a forest between what is not connected yet, at last every pair that
    is left. So no link that matters to a component is lost.
 
 A-Z are lower-cased; words are parted by ASCII white space. A text with fewer than n
@@ -316,6 +319,40 @@ def _buckets(s: Settings, labelled: bool, every: bool = False):
     return run
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by token those whose token another row has, too."""
+    last: pa.RecordBatch | None = None  # the last row so far, and whether it is shared
+    kept = False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        token = batch.column("token").to_numpy()
+        same = token[1:] == token[:-1]
+        goes_on = last is not None and last.column("token")[0].as_py() == token[0]
+        if last is not None and (kept or goes_on):
+            yield last
+        shared = np.concatenate([[goes_on], same]) | np.concatenate([same, [False]])
+        yield batch.slice(0, batch.num_rows - 1).filter(pa.array(shared[:-1]))
+        last, kept = batch.slice(batch.num_rows - 1), bool(shared[-1])
+    if last is not None and kept:
+        yield last
+
+
+def _bounded(s: Settings):
+    """Pairs with both count vectors: may the sets overlap enough?"""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(batch.num_rows, -1).astype(np.int64) for c in ("point_a", "point_b"))
+            overlap = np.minimum(p, q).sum(axis=1)  # each shingle is in one group
+            may = 100 * overlap >= s.percent * (p.sum(axis=1) + q.sum(axis=1) - overlap)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(may)], names=["a", "b", "may"])
+
+    return run
+
+
 def _verify(s: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,25 +395,33 @@ def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     second = docs.where("doc_id is not null").mapInArrow(_second_pass(shared, s), _SECOND)
     one = second.join(classes.select("rep", "f1", "f2"), (second.doc_id == F.col("rep")) & (second.f1 == classes.f1) & (second.f2 == classes.f2), "left_semi")
-    entries = one.select(F.explode("tokens").alias("token"), "doc_id", "n", "point")
+    one = store.written(one.select("doc_id", "n", "tokens", "point"), "prefixes")
+    narrow = one.select(F.explode("tokens").alias("token"), "doc_id").repartition("token").sortWithinPartitions("token")
+    shared_ = store.written(narrow.mapInArrow(_shared, "token long, doc_id long"), "shared")
+    entries = shared_.join(one.select("doc_id", "n", "point"), "doc_id").select("token", "doc_id", "n", "point")
     entries = entries.repartition("token").sortWithinPartitions("token", "doc_id")
     found = store.written(entries.mapInArrow(_buckets(s, False), _PAIRS), "pairs")
+    store.drop(one, shared_)
     pairs = found.where("a is not null").select("a", "b").distinct()
     again = found.where("a is null").select("token", "doc_id", "n")
 
     needed = pairs.select("a").union(pairs.select("b")).union(again.select("doc_id")).distinct().toDF("_needed")
     texts = docs.join(needed, F.col("doc_id") == F.col("_needed"), "left_semi").dropDuplicates(["doc_id"])
     texts = store.written(texts, "texts")
-    checked = _verified(pairs, texts, s)
-    links, failed = checked.where("good").select("a", "b"), checked.where("not good").select("a", "b")
+    fine = store.written(texts.mapInArrow(_fine_points(s), "doc_id long, point binary"), "points")
+    sides = [fine.select(F.col("doc_id").alias(side), F.col("point").alias(f"point_{side}")) for side in ("a", "b")]
+    bounded = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "point_a", "point_b")
+    bounded = store.written(bounded.mapInArrow(_bounded(s), "a long, b long, may boolean"), "bounded")
+    checked = _verified(bounded.where("may").select("a", "b"), texts, s)
+    links = checked.where("good").select("a", "b")
+    failed = bounded.where("not may").select("a", "b").union(checked.where("not good").select("a", "b"))
     roots = components(links)
 
     if not failed.isEmpty() and not again.isEmpty():
         bad = failed.select("a").union(failed.select("b")).distinct().toDF("doc_id")
         tokens = again.join(bad, "doc_id", "left_semi").select("token").distinct()
         open_ = again.join(tokens, "token", "left_semi")
-        fine = texts.join(open_.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_fine_points(s), "doc_id long, point binary")
-        open_, fine = store.written(open_, "open"), store.written(fine, "points")
+        open_ = store.written(open_, "open")
         for every in (False, True):
             # The wide points join last, so they are shuffled once a round.
             label = F.coalesce("component", "doc_id").alias("label")
@@ -388,6 +433,8 @@ def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             failed = failed.union(checked.where("not good").select("a", "b"))
             roots = components(links)
 
+    # What is left reads the counts, the classes and the components only.
+    store.drop(found, texts, fine)
     known = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         *prints, F.coalesce("component", "rep").alias("_root")
     )
