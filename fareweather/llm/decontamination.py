@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fareweather.llm.marks import unique_ids
+from fareweather.llm.marks import free_name, unique_ids
 from fareweather.llm.text import SIGNS, Words, grams, pieces
 
 SCHEMA = "doc_id long, item_id long, tiles int, covered int, item_tokens int, coverage double"
@@ -245,7 +245,8 @@ def clean(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) ->
     Where ids are missing or repeated, rows are told apart by a fingerprint of id and
     text: a leaked row without an id goes, a clean one with a leaked one's id stays."""
     uid = F.col("doc_id").cast("long") if unique_ids(docs) else F.xxhash64("doc_id", "text")
-    keyed = docs.withColumn("_uid", uid)
-    found = leaks(keyed.select(F.col("_uid").alias("doc_id"), "text"), items, settings)
-    leaked = found.select(F.col("doc_id").alias("_uid")).distinct()
-    return keyed.join(leaked, "_uid", "left_anti").select(*docs.columns)
+    own = free_name(docs, "_uid")
+    keyed = docs.withColumn(own, uid)
+    found = leaks(keyed.select(F.col(own).alias("doc_id"), "text"), items, settings)
+    leaked = found.select(F.col("doc_id").alias(own)).distinct()
+    return keyed.join(leaked, own, "left_anti").select(*docs.columns)

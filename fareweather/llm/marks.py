@@ -40,6 +40,14 @@ def unique_ids(docs: DataFrame) -> bool:
     return counts[0] is None or (counts[0] == 1 and counts[1] == 0)
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name like the one given that the table does not have, in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def with_uid(docs: DataFrame) -> DataFrame:
     """doc_id, text and ``uid``, the same for equal rows only, and never null.
 

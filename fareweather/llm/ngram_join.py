@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fareweather.llm import store
 from fareweather.llm.components import components
-from fareweather.llm.marks import unique_ids
+from fareweather.llm.marks import free_name, unique_ids
 from fareweather.llm.text import Words, grams, list_column, mix, pieces, ranges
 
 _U = np.uint64
@@ -449,8 +449,9 @@ def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     fingerprint of id and text, and equal rows are kept once."""
     unique = unique_ids(docs)
     uid = F.col("doc_id").cast("long") if unique else F.xxhash64("doc_id", "text")
-    keyed = docs.withColumn("_uid", uid)
-    found = near_copies(keyed.select(F.col("_uid").alias("doc_id"), "text"), settings)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    chosen = keyed.join(kept, F.col("_uid") == F.col("_kept"), "left_semi")
-    return (chosen if unique else chosen.dropDuplicates(["_uid"])).drop("_uid")
+    own = free_name(docs, "_uid")
+    keyed = docs.withColumn(own, uid)
+    found = near_copies(keyed.select(F.col(own).alias("doc_id"), "text"), settings)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(own)).distinct()
+    chosen = keyed.join(kept, own, "left_semi")
+    return (chosen if unique else chosen.dropDuplicates([own])).select(*docs.columns)

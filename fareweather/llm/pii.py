@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from fareweather.llm import store
-from fareweather.llm.marks import with_uid
+from fareweather.llm.marks import free_name, with_uid
 
 #: Kinds in their order and their forms. Possessive loops and the
 #: looks behind give the same matches as plain ones, in linear time and stack.
@@ -185,20 +185,21 @@ def report(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def redacted(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with each span of its text replaced by its kind in brackets."""
-    keyed = docs.withColumn("_uid", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
-    found = spans(keyed.select(F.col("_uid").alias("uid"), F.coalesce("text", F.lit("")).alias("text")), settings)
+    own, marks = free_name(docs, "_uid"), free_name(docs, "_spans")
+    keyed = docs.withColumn(own, F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
+    found = spans(keyed.select(F.col(own).alias("uid"), F.coalesce("text", F.lit("")).alias("text")), settings)
     order = W.partitionBy("uid").orderBy("start", "end", "kind")
     reached = F.coalesce(F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     apart = (
         found.withColumn("reached", reached).where(F.col("end") > F.col("reached"))
         .withColumn("start", F.greatest("start", "reached"))
-        .groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "reached"))).alias("_spans"))
+        .groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "reached"))).alias(marks))
     )
     # Text between the spans, and after the last.
     text = F.col("text")
-    pieces = F.transform("_spans", lambda x: F.concat(text.substr((x["reached"] + 1).cast("int"), (x["start"] - x["reached"]).cast("int")), F.lit("["), x["kind"], F.lit("]")))
-    last = F.element_at("_spans", -1)["end"]
+    pieces = F.transform(marks, lambda x: F.concat(text.substr((x["reached"] + 1).cast("int"), (x["start"] - x["reached"]).cast("int")), F.lit("["), x["kind"], F.lit("]")))
+    last = F.element_at(marks, -1)["end"]
     tail = text.substr((last + 1).cast("int"), F.length(text))
-    new = F.when(F.col("_spans").isNotNull(), F.concat(F.array_join(pieces, ""), tail)).otherwise(text)
-    joined = keyed.join(apart.withColumnRenamed("uid", "_uid"), "_uid", "left")
+    new = F.when(F.col(marks).isNotNull(), F.concat(F.array_join(pieces, ""), tail)).otherwise(text)
+    joined = keyed.join(apart.withColumnRenamed("uid", own), own, "left")
     return joined.withColumn("text", new).select(*docs.columns)
