@@ -79,4 +79,45 @@ ranked AS (
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
 """
 
-SQL = {"op11_vector_codes": OP11, "op12_ranked_search": OP12}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+OP2 = f"""
+WITH held AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, {_WORD}) END AS words FROM documents),
+placed AS (SELECT doc_id, words, CAST(unnest(generate_series(1, len(words))) AS BIGINT) AS pos FROM held),
+windows AS (
+  SELECT doc_id, pos, hash(array_to_string(words[pos : pos + 49], ' ')) AS print
+  FROM placed WHERE pos + 49 <= len(words)),
+firsts AS (SELECT print, min(doc_id) AS first_doc FROM windows GROUP BY print),
+covered AS (
+  SELECT DISTINCT doc_id, pos + unnest(generate_series(0, 49)) AS pos
+  FROM windows JOIN firsts USING (print) WHERE first_doc < doc_id),
+kept AS (
+  SELECT p.doc_id, string_agg(p.words[p.pos], ' ' ORDER BY p.pos) AS text
+  FROM placed p ANTI JOIN covered c ON p.doc_id = c.doc_id AND p.pos = c.pos GROUP BY p.doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM held LEFT JOIN kept k USING (doc_id) LEFT JOIN removed r USING (doc_id)
+"""
+
+OP5 = f"""
+WITH RECURSIVE held AS (
+  SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all({_LOWER}, {_WORD}) END AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(generate_series(1, len(w) - 2), lambda i : array_to_string(w[i : i + 2], ' '))) END AS s
+  FROM held),
+grams AS (SELECT doc_id, n, hash(gram) AS gram FROM (SELECT doc_id, len(s) AS n, unnest(s) AS gram FROM sets)),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) c USING (doc_id)
+"""
+
+SQL = {"op2_substring_dedup": OP2, "op5_ngram_join": OP5, "op11_vector_codes": OP11, "op12_ranked_search": OP12}

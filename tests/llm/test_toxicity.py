@@ -65,3 +65,25 @@ def test_without_labels(spark, tables):
     model = toxicity.fit(docs, labels.limit(0))
     assert toxicity.score_texts(["any", None], model).tolist() == [0.5, 0.5]
     assert docs.limit(0).select(toxicity.scorer(spark, model)("text")).count() == 0
+
+
+def test_scores_equal_brute_force(spark, tables):
+    """Each score from the single words of the whole text, one at a time."""
+    import math
+    import re
+
+    docs, labels = tables
+    model = toxicity.fit(docs, labels, toxicity.Settings(signal=2.0))
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+
+    def by_hand(text):
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        words = set(re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", low))
+        found = set()
+        for word in words:
+            found.update(toxicity._features(toxicity.Words(toxicity._chunk([word.encode()]), True, toxicity.SIGNS), model.settings)[0].tolist())
+        return 1 / (1 + math.exp(-(model.bias + sum(weight.get(f, 0.0) for f in found))))
+
+    texts = [r["text"] for r in docs.limit(60).collect()] + ["SCUM, scum! Ünd word1\n" * 400, "?!", "idiotic\x00worthless"]
+    got = toxicity.score_texts(texts, model)
+    assert np.allclose(got, [by_hand(t) for t in texts], atol=1e-12) and len(weight) > 5
