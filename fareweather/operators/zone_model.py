@@ -17,7 +17,7 @@ from fareweather.config import CLEAR, ClusterSettings, ProfileThresholds
 from fareweather.config import HIGH_LABEL, MEDIUM_LABEL
 from fareweather.functions.labels import group_profile
 from fareweather.operators import order_statistics
-from fareweather.functions.numeric import exact_avg, finite, round_even, round_half
+from fareweather.functions.numeric import exact_avg, exact_sum, finite, round_even, round_half
 
 #: The model's input in its order.
 FEATURES = (
@@ -300,17 +300,17 @@ def _distance(a: Column, b: Column) -> Column:
 def silhouette(ready: DataFrame, chosen: DataFrame, most: int = 10_000) -> DataFrame:
     """Exact mean silhouette with Euclidean distance; null for one cluster.
 
-    Made for zones: a table of at most ``most`` points, which goes to every task as
-    one value; a larger one is an error, not a shorter answer. No pairs are emitted,
-    each point sums its distances on its own. For tables of any size there is
-    :func:`squared_silhouette`.
+    Zone ids are unique. Up to ``most`` points go to every task as one value, and each
+    point sums its distances on its own; above, distances are summed in pairs of
+    blocks (:func:`blocked_silhouette`). No pairs of points are emitted. In linear
+    time, with squared distances, there is :func:`squared_silhouette`.
     """
-    points = ready.join(chosen, "zone_id").select("cluster_id", F.array(*FEATURES).alias("at"))
-    few = points.limit(most + 1).groupBy("cluster_id").agg(F.sort_array(F.collect_list("at")).alias("all"))
-    groups = few.agg(F.sort_array(F.collect_list(F.struct("cluster_id", "all"))).alias("groups"))
-    size = F.aggregate(F.col("groups"), F.lit(0), lambda total, g: total + F.size(g["all"]))
-    checked = F.when(size > most, F.raise_error(F.lit("too many points to send to every task"))).otherwise(F.col("groups"))
-    placed = points.withColumn("groups", groups.select(checked.alias("groups")).scalar())
+    points = ready.join(chosen, "zone_id").select("zone_id", "cluster_id", F.array(*FEATURES).alias("at"))
+    if points.limit(most + 1).count() > most:
+        return blocked_silhouette(points)
+    groups = points.groupBy("cluster_id").agg(F.sort_array(F.collect_list("at")).alias("all"))
+    groups = groups.agg(F.sort_array(F.collect_list(F.struct("cluster_id", "all"))).alias("groups"))
+    placed = points.withColumn("groups", groups.scalar())
 
     def mean(g: Column) -> Column:
         own = g["cluster_id"] == F.col("cluster_id")
@@ -325,7 +325,75 @@ def silhouette(ready: DataFrame, chosen: DataFrame, most: int = 10_000) -> DataF
     # A zone alone in its cluster counts as 0; a single cluster has no score.
     width = F.when(inside.isNull() | (larger == 0), 0.0).otherwise((outside - inside) / larger)
     widths = means.select(F.when(outside.isNotNull(), width).alias("width"))
-    return widths.agg(F.avg("width").alias("silhouette_score"))
+    return widths.agg(exact_avg("width").alias("silhouette_score"))
+
+
+def _block_sums(batches):
+    """Of each pair of blocks the distances of every point to the other block's
+    clusters, added up: one row a point and cluster, in both directions."""
+    import numpy as np
+    import pyarrow as pa
+
+    def unpacked(members):
+        values = members.values
+        at = values.field("at").flatten().to_numpy().reshape(len(values), -1)
+        return values.field("zone_id"), values.field("cluster_id").to_numpy(), at
+
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1)
+            ids, kinds, a = unpacked(pa.concat_arrays([row.column("members")]))
+            other_ids, other_kinds, b = unpacked(pa.concat_arrays([row.column("others")]))
+            apart = np.zeros((len(a), len(b)))
+            for f in range(a.shape[1]):
+                step = a[:, f, None] - b[None, :, f]
+                apart += step * step
+            apart = np.sqrt(apart)
+            same = row.column("block")[0].as_py() == row.column("other")[0].as_py()
+            ways = [(ids, apart, other_kinds)] + ([] if same else [(other_ids, apart.T, kinds)])
+            for own, distance, towards in ways:
+                order = np.argsort(towards, kind="stable")
+                names, first = np.unique(towards[order], return_index=True)
+                sums = np.add.reduceat(distance[:, order], first, axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [own.take(pa.array(np.repeat(np.arange(len(own)), len(names)))), pa.array(np.tile(names, len(own))), pa.array(sums.ravel())],
+                    names=["zone_id", "towards", "distance"],
+                )
+
+
+def blocked_silhouette(points: DataFrame, block: int = 1024) -> DataFrame:
+    """The exact silhouette of any number of points (zone_id, cluster_id, at).
+
+    Points are dealt into blocks of about ``block`` by their id. A task takes two blocks
+    and gives one sum for each point and cluster; only these are shuffled. The work is
+    quadratic, as the figure is. Sums of blocks are added exactly, so the answer does
+    not depend on the order in which tasks end.
+    """
+    rows = points.count()
+    blocks = max(1, -(-rows // block))
+    kind = dict(points.dtypes)["zone_id"]
+    # Clusters may have names of any type; only whether they are equal counts.
+    dealt = points.select("zone_id", F.xxhash64("cluster_id").alias("cluster_id"), "at", F.pmod(F.xxhash64("zone_id"), F.lit(blocks)).alias("block"))
+    held = dealt.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("zone_id", "cluster_id", "at"))).alias("members"))
+    left = held.select("block", "members", F.explode(F.sequence(F.col("block"), F.lit(blocks - 1).cast("long"))).alias("other"))
+    right = held.select(F.col("block").alias("other"), F.col("members").alias("others"))
+    # Block pairs are the unit of work, so they are spread evenly before it.
+    pairs = left.join(right, "other").select("block", "other", "members", "others").repartition(min(blocks * blocks, 2000), "block", "other")
+    sums = pairs.mapInArrow(_block_sums, f"zone_id {kind}, towards long, distance double")
+    totals = sums.groupBy("zone_id", "towards").agg(exact_sum("distance").alias("total"))
+    sizes = dealt.groupBy("cluster_id").count()
+    own = F.col("cluster_id") == F.col("towards")
+    means = (
+        totals.join(dealt.select("zone_id", "cluster_id"), "zone_id")
+        .join(sizes.select(F.col("cluster_id").alias("towards"), "count"), "towards")
+        .withColumn("mean", F.try_divide(F.col("total"), F.col("count") - F.when(own, 1).otherwise(0)))
+        .groupBy("zone_id")
+        .agg(F.max(F.when(own, F.col("mean"))).alias("inside"), F.min(F.when(~own, F.col("mean"))).alias("outside"))
+    )
+    larger = F.greatest("inside", "outside")
+    width = F.when(F.col("inside").isNull() | (larger == 0), 0.0).otherwise((F.col("outside") - F.col("inside")) / larger)
+    widths = means.select(F.when(F.col("outside").isNotNull(), width).alias("width"))
+    return widths.agg(exact_avg("width").alias("silhouette_score"))
 
 
 def squared_silhouette(ready: DataFrame, chosen: DataFrame) -> DataFrame:

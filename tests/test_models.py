@@ -2,6 +2,7 @@ from dataclasses import replace
 from datetime import date, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,12 +192,38 @@ def test_same_clusters_and_forest_for_any_layout(spark):
     assert chosen(ready.repartition(2)) == chosen(ready.repartition(7).orderBy(F.desc("zone_id")))
 
 
-def test_too_many_points_are_an_error(spark):
+def test_silhouette_in_blocks_equals_the_small_one(spark):
     ready = zone_model.model_input(zones(spark))
-    chosen = ready.select("zone_id", (F.col("zone_id") % 2).cast("int").alias("cluster_id"))
-    with pytest.raises(Exception, match="too many points"):
-        zone_model.silhouette(ready, chosen, most=5).collect()
-    assert -1 <= zone_model.squared_silhouette(ready, chosen).first()[0] <= 1
+    for kind in ("int", "string"):
+        chosen = ready.select("zone_id", (F.col("zone_id") % 2).cast(kind).alias("cluster_id"))
+        small = zone_model.silhouette(ready, chosen).first()[0]
+        points = ready.join(chosen, "zone_id").select("zone_id", "cluster_id", F.array(*zone_model.FEATURES).alias("at"))
+        blocks = [zone_model.blocked_silhouette(p, 7).first()[0] for p in (points, points.repartition(5))]
+        assert blocks[0] == blocks[1] == pytest.approx(small, abs=1e-12)
+        assert zone_model.silhouette(ready, chosen, most=5).first()[0] == pytest.approx(small, abs=1e-12)
+    one = points.withColumn("cluster_id", F.lit(3))
+    assert zone_model.blocked_silhouette(one, 7).first()[0] is None
+    lonely = points.withColumn("cluster_id", F.when(F.col("zone_id") == 0, 9).otherwise(F.col("cluster_id").cast("int")))
+    want = zone_model.silhouette(ready, lonely.select("zone_id", "cluster_id")).first()[0]
+    assert zone_model.blocked_silhouette(lonely, 7).first()[0] == pytest.approx(want, abs=1e-12)
+    assert -1 <= zone_model.squared_silhouette(ready, chosen.withColumn("cluster_id", F.col("cluster_id").cast("int"))).first()[0] <= 1
+
+
+def test_silhouette_of_twenty_thousand_points(spark):
+    draw, n = np.random.default_rng(8), 20_000
+    x = draw.normal(size=(n, 3)) + 3 * (np.arange(n) % 3)[:, None]
+    kind = np.arange(n) % 3
+    df = spark.createDataFrame(pd.DataFrame({"zone_id": np.arange(n), "cluster_id": kind, "at": x.tolist()}))
+    sums = np.zeros((n, 3))
+    for a in range(0, n, 1000):
+        apart = np.sqrt(((x[a : a + 1000, None] - x[None]) ** 2).sum(axis=2))
+        for c in range(3):
+            sums[a : a + 1000, c] = apart[:, kind == c].sum(axis=1)
+    size = np.bincount(kind)
+    own = sums[np.arange(n), kind] / (size[kind] - 1)
+    other = np.where(np.arange(3)[None] == kind[:, None], np.inf, sums / size).min(axis=1)
+    want = ((other - own) / np.maximum(own, other)).mean()
+    assert zone_model.blocked_silhouette(df).first()[0] == pytest.approx(want, abs=1e-10)
 
 
 def test_silhouette_edge_cases(spark):
