@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from fareweather.llm import store
 
+#: Edges for which a task of its own is worth while.
+_TASK_ROWS = 20_000
+
 
 def _large(edges: DataFrame) -> DataFrame:
     """Each node hands its larger neighbours to the least node it knows."""
     both = edges.union(edges.select("b", "a")).toDF("a", "b")
     least = both.groupBy("a").agg(F.min("b").alias("m"))
     least = least.withColumn("m", F.least("m", "a"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small(edges: DataFrame) -> DataFrame:
@@ -22,6 +25,11 @@ def _small(edges: DataFrame) -> DataFrame:
     return rest.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _print(edges: DataFrame) -> tuple:
+    """Number and fingerprint of a set of edges."""
+    return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("bit_xor(xxhash64(b, a, 7))")).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes with an edge; component is the least node.
 
@@ -33,14 +41,15 @@ def components(edges: DataFrame) -> DataFrame:
     edges = (
         edges.where(F.col(first) != F.col(second))
         .select(F.greatest(first, second).alias("a"), F.least(first, second).alias("b"))
-        .distinct()
     )
     edges = store.written(edges, "edges")
-    seen = None
+    seen = _print(edges)
     while True:
-        before, edges = edges, store.written(_small(_large(edges)), "edges")
+        # The rounds only join edges, so tasks enough for the last ones are enough.
+        turned = _small(_large(edges)).coalesce(max(seen[0] // _TASK_ROWS, 12))
+        before, edges = edges, store.written(turned, "edges")
         store.drop(before)
-        now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("bit_xor(xxhash64(b, a, 7))")).first()
+        now = _print(edges)
         if now == seen:
             break
         seen = now

@@ -94,3 +94,22 @@ def test_components_of_chains_and_loops(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (7, 7), (200, 150)]
     got = {(r["node"], r["component"]) for r in components(spark.createDataFrame(edges, "x long, y long")).collect()}
     assert got == {(k, 0) for k in range(41)} | {(100, 100), (101, 100), (200, 150), (150, 150)}
+
+
+def test_components_of_stars_take_one_round(spark, monkeypatch):
+    """Nothing is written again that a round did not change, nor in more files than rows are worth."""
+    from fareweather.llm import store
+
+    tables, written = [], store.written
+    monkeypatch.setattr(store, "written", lambda df, name: tables.append(written(df, name)) or tables[-1])
+    stars = spark.createDataFrame([(10 * (k % 7), 10 * (k % 7) + 1 + k // 7) for k in range(63)], "a long, b long")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["node"]: r["component"] for r in components(stars).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == {10 * k + i: 10 * k for k in range(7) for i in range(10)}
+    assert len(tables) == 2 and len(tables[-1].inputFiles()) <= 12
