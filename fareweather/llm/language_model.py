@@ -10,8 +10,8 @@ all training tokens; a token never seen has the share of one half.
 
 Counts cover all training documents and are joined, so they may grow with the
 corpus; what is broadcast (frequent tokens, tables of ``2**slot_bits`` counters) has
-a fixed size. Start weights are learned from a bounded sample of training documents
-that the tables leave out until then; afterwards these are counted too.
+a fixed size. Start weights are learned from all training documents, in parts: each
+part is read with the tables of the other parts, so no document meets its own counts.
 
 A null text is empty: its only token is the end. With no training rows every token
 is unknown. Rows may share an id; each gives a row of its own.
@@ -45,19 +45,17 @@ _PART = 1 << 15
 class Settings:
     """``frequent``: leaves of the tree; ``slot_bits``: log2 of a table's slots;
     ``block``: tokens between two refinements; ``rate`` of refining; ``own``: weight
-    of the corpus in the document's own shares; ``sample`` training documents, of at
-    most ``sample_bytes``, for the start weights: one in ``held_back`` is added
-    to the tables only after them."""
+    of the corpus in the document's own shares; ``held_back``: parts of the training
+    documents, each held back from the tables with which it teaches the start weights;
+    ``rounds`` in which all of them are read."""
 
     frequent: int = 4096
     slot_bits: int = 19
     block: int = 48
     rate: float = 0.004
     own: float = 3.0
-    sample: int = 1000
-    sample_bytes: int = 20_000
-    held_back: int = 50
-    rounds: int = 3
+    held_back: int = 2
+    rounds: int = 1
 
 
 class Tree:
@@ -343,30 +341,61 @@ def fit(docs: DataFrame, training: Column, settings: Settings = Settings()) -> t
     tree = Tree(np.append(own.astype(float), rare_total + 0.5 * (rare_distinct + 1)))
     model = Model(known, own, tree, total, distinct, rare_total, rare_distinct, s)
     shared = spark.sparkContext.broadcast(model)
-    back = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(s.held_back)) == 0
-    model.tables = _tables(taught.where(~back), shared)
+    part = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(s.held_back))
+    parts = [taught.where(part == k) for k in range(s.held_back)]
+    own_tables = [_tables(p, shared) for p in parts]
+    # Each part's counts end at the largest; so do their sums.
+    all_tables = sum((own.astype(np.int64) for own in own_tables), np.int64(0))
     model.weights = np.full((_GATES, _INPUTS), 0.3)
-    sample = (
-        taught.where(back & (F.octet_length("text") <= s.sample_bytes)).select("doc_id", "text")
-        .orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "text").limit(s.sample).toArrow()
-    )
-    if sample.num_rows:
-        mixer = _Mixer(model)
-        for _ in range(s.rounds):
-            ends, share = np.zeros_like(model.weights), 0
-            for batch in sample.combine_chunks().to_batches():
-                for _, chunk in _parts(batch):
-                    tokens = Tokens(chunk)
-                    _, last = mixer(tokens)
-                    ends += (last * tokens.count[:, None, None]).sum(axis=0)
-                    share += int(tokens.count.sum())
-            model.weights = ends / max(share, 1)
+    for _ in range(s.rounds if total else 0):
+        ends, share = np.zeros(model.weights.size), 0
+        for own, rows in zip(own_tables, parts):
+            model.tables = _ending(all_tables - own)
+            more, tokens = _ends(rows, spark.sparkContext.broadcast(model))
+            ends, share = ends + more, share + tokens
+        model.weights = (ends / max(share, 1)).reshape(model.weights.shape)
     # Nothing is left out of the counts that score.
-    rest = _tables(taught.where(back), shared)
-    model.tables = np.minimum(model.tables.astype(np.int64) + rest, (1 << 32) - 1).astype(np.uint32)
+    model.tables = _ending(all_tables)
     return model, counts
 
 
+def _ending(tables: np.ndarray) -> np.ndarray:
+    return np.minimum(tables, (1 << 32) - 1).astype(np.uint32)
+
+
+#: Weights are summed in whole parts of so many, so the order of rows is no matter.
+_UNIT = float(1 << 20)
+
+
+def _refined(shared):
+    """Sums over texts: tokens, and each last weight times the tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixer = _Mixer(shared.value)
+        for batch in batches:
+            for _, chunk in _parts(batch):
+                tokens = Tokens(chunk)
+                _, last = mixer(tokens)
+                whole = np.rint(last.astype(np.float64) * _UNIT).astype(np.int64).reshape(len(chunk), -1)
+                sums = (whole * tokens.count[:, None]).sum(axis=0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(sums) + 1), pa.int32()), pa.array(np.append(sums, tokens.count.sum()))], names=["cell", "total"]
+                )
+
+    return run
+
+
+def _ends(rows: DataFrame, shared) -> tuple[np.ndarray, int]:
+    """Weights at the end of each text times its tokens, summed; all tokens."""
+    sums = rows.select("text").mapInArrow(_refined(shared), "cell int, total long")
+    found = sums.groupBy("cell").agg(F.sum(F.col("total").cast("decimal(20,0)")).alias("total")).collect()
+    shared.unpersist()
+    out = np.zeros(_GATES * _INPUTS + 1)
+    for r in found:
+        out[r["cell"]] = float(r["total"])
+    return out[:-1] / _UNIT, int(out[-1])
+
+
 def _tables(taught: DataFrame, shared) -> np.ndarray:
     """Counts under all contexts, summed over the rows."""
     parts = taught.select("text").mapInArrow(_train(shared), "part int, counts binary")

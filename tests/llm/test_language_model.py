@@ -76,3 +76,12 @@ def test_every_training_document_is_counted(docs_of, sample_rows):
         for k, slot in enumerate(events.slots):
             want[k] += np.bincount(slot * 2 + events.bit, minlength=want.shape[1])
     assert (model.tables.reshape(3, -1) == want).all()
+
+
+def test_start_weights_learn_from_every_training_document(docs_of):
+    """Long ones too, and the order of the rows does not matter."""
+    rows = [(k, " ".join(f"w{(k * j) % 17}" for j in range(1, 8000))) for k in range(8)]
+    assert min(len(t) for _, t in rows) > 20_000
+    found = [LM.fit(docs_of(own, parts), F.lit(True), SMALL)[0].weights for own, parts in ((rows, 1), (rows[::-1], 5), (rows[:-1], 2))]
+    assert (found[0] != 0.3).any() and (found[0] == found[1]).all()
+    assert (found[0] != found[2]).any()
