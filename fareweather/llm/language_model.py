@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fareweather.llm import store
 from fareweather.llm.marks import unique_ids, with_uid
-from fareweather.llm.text import Words, mix, pieces, ranges
+from fareweather.llm.text import CHUNK_BYTES, Words, list_column, mix, pieces, ranges
 
 _U = np.uint64
 #: Fingerprint of the end token; no word has it.
@@ -39,6 +39,12 @@ _CONTEXTS = 3
 _INPUTS = _CONTEXTS + 2
 _GATES = 12
 _PART = 1 << 15
+#: Leading bits by which a frequent token is looked up.
+_LEAD = 16
+#: Tokens whose bits are found at a time.
+_FEW = 1 << 13
+#: Rarer tokens that are put together before they leave a task.
+_RARE = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -87,6 +93,8 @@ class Tree:
         self.node, self.bit = np.array(paths, np.int64), np.array(bits, np.int64)
         self.size = np.array(size, np.int64)
         self.start = np.cumsum(self.size) - self.size
+        #: What the node of each place adds to the hash of a context.
+        self.step = self.node.astype(_U) * _U(0xC2B2AE3D27D4EB4F)
         share = np.array([(node_one[i] + 0.25) / (node_total[i] + 0.5) for i in range(nodes)])
         self.share = share if nodes else np.full(1, 0.5)
 
@@ -105,14 +113,23 @@ class Model:
     settings: Settings
     tables: np.ndarray | None = None
     weights: np.ndarray | None = None
+    first: np.ndarray | None = None
+    most: int = 0
 
     def symbols(self, tokens: np.ndarray) -> np.ndarray:
         """Index among the frequent tokens; their number for any other."""
         rare = len(self.known)
         if not rare:
             return np.zeros(len(tokens), np.int64)
-        at = np.minimum(np.searchsorted(self.known, tokens), rare - 1)
-        return np.where(self.known[at] == tokens, at, rare)
+        if self.first is None:
+            # By the leading bits: the first known token with them, and the most that share them.
+            edge = np.searchsorted(self.known, np.arange(1 << _LEAD, dtype=_U) << _U(64 - _LEAD))
+            self.first, self.most = edge, int(np.diff(np.append(edge, rare)).max())
+        at = self.first.take((tokens >> _U(64 - _LEAD)).view(np.int64))
+        last = np.append(self.known, _U((1 << 64) - 1))
+        for _ in range(self.most):
+            at += last.take(at) < tokens
+        return np.where((last.take(at) == tokens) & (at < rare), at, rare)
 
 
 class Tokens:
@@ -130,9 +147,11 @@ class Tokens:
 
 
 class Events:
-    """Bits of the tokens' paths with the slots of their contexts."""
+    """Bits of the tokens' paths with the slots of their contexts, token by token in
+    the order given (as they stand, if none is): ``size`` of them each, ``path`` their
+    places in the tree."""
 
-    def __init__(self, tokens: Tokens, symbol: np.ndarray, model: Model):
+    def __init__(self, tokens: Tokens, symbol: np.ndarray, model: Model, order: np.ndarray | None = None):
         tree, bits = model.tree, model.settings.slot_bits
         n, rare = len(symbol), len(model.known)
         first = np.zeros(n, bool)
@@ -147,19 +166,26 @@ class Events:
         last = np.maximum.accumulate(seen)
         skip = np.where(first[last], rare + 1, one[last])
         skip_two = np.where(one == rare, two, rare + 2)
-        size = tree.size[symbol]
-        self.token = np.repeat(np.arange(n), size)
-        path = ranges(tree.start[symbol], size)
-        self.node, self.bit = tree.node[path], tree.bit[path]
-        contexts = (one, one * (rare + 3) + two, skip * (rare + 3) + skip_two)
-        step = self.node.astype(_U) * _U(0xC2B2AE3D27D4EB4F)
-        self.slots = []
-        for k, c in enumerate(contexts):
-            h = mix(c.astype(_U) + _U((k + 1) << 40))[self.token]
-            h ^= step
-            h *= _U(0x9E3779B97F4A7C15)
-            h >>= _U(64 - bits)
-            self.slots.append(h.view(np.int64))
+        contexts = [mix(c.astype(_U) + _U((k + 1) << 40)) for k, c in enumerate((one, one * (rare + 3) + two, skip * (rare + 3) + skip_two))]
+        if order is not None:
+            symbol, contexts = symbol[order], [c[order] for c in contexts]
+        self.tree, self.size = tree, tree.size[symbol]
+        self.path = ranges(tree.start[symbol], self.size)
+        self.slots = [np.empty(len(self.path), np.int64) for _ in contexts]
+        edge = np.concatenate([[0], np.cumsum(self.size)])
+        # A few tokens at a time, so that what is between stays in the cache.
+        for at in range(0, n, _FEW):
+            size, bounds = self.size[at : at + _FEW], slice(edge[at], edge[min(at + _FEW, n)])
+            step = tree.step.take(self.path[bounds])
+            for slots, context in zip(self.slots, contexts):
+                h = np.repeat(context[at : at + _FEW], size)
+                h ^= step
+                h *= _U(0x9E3779B97F4A7C15)
+                np.right_shift(h, _U(64 - bits), out=slots[bounds].view(_U))
+
+    @property
+    def bit(self) -> np.ndarray:
+        return self.tree.bit.take(self.path)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,28 +196,49 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["token", "count"])
 
 
-def _train(shared, back: bool = False):
-    """Counts of zero and one bits in each slot, at the end of the task."""
+def _by_part(batch: pa.RecordBatch, parts: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of each part of the training documents."""
+    number = batch.column(batch.schema.get_field_index("part"))
+    for k in range(parts):
+        rows = batch.filter(pc.equal(number, k))
+        if rows.num_rows:
+            yield k, rows
+
+
+def _train(shared):
+    """Counts of zero and one bits in each slot, by part, at the end of the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         slots = 1 << model.settings.slot_bits
-        tables = np.zeros((_CONTEXTS, slots * 2), np.int64)
+        tables = np.zeros((model.settings.held_back, _CONTEXTS, slots * 2), np.uint32)
+        seen = 0
         for batch in batches:
-            for _, chunk in pieces(batch):
-                tokens = Tokens(chunk)
-                events = Events(tokens, model.symbols(tokens.hash), model)
-                for k, slot in enumerate(events.slots):
-                    tables[k] += np.bincount(slot * 2 + events.bit, minlength=slots * 2)
-        flat = tables.ravel()
-        for k in range(0, len(flat), _PART):
-            own = flat[k : k + _PART]
-            if own.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k // _PART], pa.int32()), pa.array([own.astype("<u4").tobytes()], pa.binary())], names=["part", "counts"])
+            for part, rows in _by_part(batch, model.settings.held_back):
+                for _, chunk in pieces(rows):
+                    tokens = Tokens(chunk)
+                    events = Events(tokens, model.symbols(tokens.hash), model)
+                    bit = events.bit
+                    # No counter of a task may pass the largest number.
+                    seen += len(bit)
+                    if seen >= 1 << 32:
+                        yield from _filled(tables)
+                        tables[:], seen = 0, len(bit)
+                    for k, slot in enumerate(events.slots):
+                        np.add.at(tables[part, k], slot * 2 + bit, np.uint32(1))
+        yield from _filled(tables)
 
     return run
 
 
+def _filled(tables: np.ndarray) -> Iterator[pa.RecordBatch]:
+    flat = tables.ravel()
+    for k in range(0, len(flat), _PART):
+        own = flat[k : k + _PART]
+        if own.any():
+            yield pa.RecordBatch.from_arrays([pa.array([k // _PART], pa.int32()), pa.array([own.astype("<u4").tobytes()], pa.binary())], names=["part", "counts"])
+
+
 def _add(table: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(c, "<u4").astype(np.int64) for c in table["counts"].to_pylist())
     return pa.table({"part": table["part"].slice(0, 1), "counts": pa.array([np.minimum(total, (1 << 32) - 1).astype("<u4").tobytes()], pa.binary())})
@@ -200,19 +247,28 @@ def _add(table: pa.Table) -> pa.Table:
 class _Mixer:
     """Scores the texts of a chunk, refining each text's weights as it goes."""
 
-    def __init__(self, model: Model):
-        self.model, s = model, model.settings
-        counts = model.tables.reshape(_CONTEXTS, -1, 2).astype(np.float64)
-        total = counts.sum(axis=2)
-        share = (counts[:, :, 1] + 0.4) / (total + 0.8)
-        self.logit = np.log(share / (1 - share)).astype(np.float32)
-        self.level = np.minimum(np.log2(total + 1), 12).astype(np.int8)
-        share = model.tree.share
-        self.base = np.log(share / (1 - share)).astype(np.float32)
-        self.share = share.astype(np.float32)
+    def __init__(self, model: Model, tables: np.ndarray):
+        self.model = model
+        counts = tables.reshape(_CONTEXTS, -1, 2)
+        self.logit = np.empty(counts.shape[:2], np.float32)
+        level = []
+        for k in range(_CONTEXTS):
+            one = counts[k, :, 1].astype(np.float64)
+            total = counts[k, :, 0] + one
+            share = (one + 0.4) / (total + 0.8)
+            self.logit[k] = np.log(share / (1 - share))
+            level.append(np.minimum(np.log2(total + 1), 12).astype(np.int8))
+        # A gate is the sum of what the first and the second table know.
+        self.know = (np.minimum(level[0] // 3, 2) * np.int8(4), np.minimum(level[1] // 2, 3))
+        tree, share = model.tree, model.tree.share
         self.nodes = len(share)
+        # By place on a path: the side taken, what the node says, the corpus' part in own shares.
+        self.side = 2 * tree.node + tree.bit
+        self.sign = (1 - 2 * tree.bit).astype(np.float32)
+        self.base = np.log(share / (1 - share)).astype(np.float32)[tree.node]
+        self.prior = (np.float32(model.settings.own) * share.astype(np.float32))[tree.node]
 
-    def __call__(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, tokens: Tokens, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of the probability of each text's paths; the texts' last weights."""
         model, s = self.model, self.model.settings
         texts = len(tokens.count)
@@ -220,44 +276,54 @@ class _Mixer:
         cells = texts * _GATES
         # By input: the weight of each text and gate.
         weights = np.tile(model.weights.astype(np.float32).T, texts)
-        # How often the text itself took either side of a node: two places a node.
-        own = np.zeros(2 * texts * self.nodes, np.float32)
-        events = Events(tokens, model.symbols(tokens.hash), model)
-        if not len(events.token):
+        if not len(model.tree.node) or not texts:
             return out, self._by_text(weights, texts)
-        edge = np.searchsorted(events.token, np.arange(len(tokens.hash) + 1))
-        x = np.empty((_INPUTS - 1, len(events.token)), np.float32)
-        x[0] = self.base[events.node]
+        # Tokens by block, texts side by side: the bits of a block stand together.
+        text = np.repeat(np.arange(texts), tokens.count)
+        block = (np.arange(len(text)) - tokens.begin[text]) // s.block
+        order = np.argsort(block.astype(np.min_scalar_type(int(block.max()))), kind="stable")
+        events = Events(tokens, symbol, model, order)
+        stop = np.cumsum(events.size)[np.cumsum(np.bincount(block)) - 1].tolist()
+        owner = text[order]
+        text = np.repeat(owner, events.size)
+        # One table after another, for all bits of the chunk.
+        x = np.empty((_INPUTS - 1, len(events.path)), np.float32)
+        np.take(self.base, events.path, out=x[0], mode="clip")
         for k, slot in enumerate(events.slots):
-            x[k + 1] = self.logit[k][slot]
-        near = np.minimum(self.level[0][events.slots[0]] // 3, 2)
-        far = np.minimum(self.level[1][events.slots[1]] // 2, 3)
-        gate = (near * 4 + far).astype(np.int64)
-        share = np.float32(s.own) * self.share[events.node]
-        for begin in range(0, int(tokens.count.max()), s.block):
-            live = np.flatnonzero(tokens.count > begin)
-            lo = edge[tokens.begin[live] + begin]
-            hi = edge[np.minimum(tokens.begin[live] + begin + s.block, tokens.stop[live])]
-            at = ranges(lo, hi - lo)
-            text = np.repeat(live, hi - lo)
-            place = 2 * (text * self.nodes + events.node[at])
-            taken = share[at]
-            now = [row[at] for row in x]
-            now.append(np.log((own[place + 1] + taken) / (own[place] + np.float32(s.own) - taken)))
-            key = text * _GATES + gate[at]
-            z = weights[0][key] * now[0]
+            np.take(self.logit[k], slot, out=x[k + 1], mode="clip")
+        key = np.repeat(owner * _GATES, events.size)
+        for known, slot in zip(self.know, events.slots):
+            key += known.take(slot)
+        sign, prior = self.sign.take(events.path), self.prior.take(events.path)
+        # How often the text itself took either side of a node: two places a node.
+        side = np.repeat(owner * (2 * self.nodes), events.size)
+        side += self.side.take(events.path)
+        del events
+        own = np.zeros(2 * texts * self.nodes, np.float32)
+        pairs = own.reshape(-1, 2)
+        whole = np.float32(s.own)
+        for begin, end in zip([0, *stop], stop):
+            at = slice(begin, end)
+            cell, flip = key[at], sign[at]
+            so_far = pairs.take(side[at] >> 1, axis=0)
+            ones = so_far[:, 1] + prior[at]
+            ones /= so_far[:, 0] + (whole - prior[at])
+            now = [*x[:, at], np.log(ones, out=ones)]
+            z = weights[0].take(cell) * now[0]
             for k in range(1, _INPUTS):
-                z += weights[k][key] * now[k]
-            bit = events.bit[at]
+                more = weights[k].take(cell)
+                more *= now[k]
+                z += more
             # The share of the side that was taken, and what it falls short of one.
-            other = np.exp(np.clip(np.where(bit == 1, -z, z), -30, 30))
-            out -= np.bincount(text, np.log1p(other), texts)
-            miss = other / (1 + other)
-            error = np.where(bit == 1, miss, -miss)
+            z *= flip
+            other = np.exp(np.clip(z, -30, 30, out=z), out=z)
+            out -= np.bincount(text[at], np.log1p(other), texts)
+            error = other / (1 + other)
+            error *= flip
             for k in range(_INPUTS):
-                move = np.bincount(key, error * now[k], cells)
-                weights[k] += s.rate * np.clip(move, -50, 50).astype(np.float32)
-            np.add.at(own, place + bit, np.float32(1))
+                move = np.bincount(cell, error * now[k], cells)
+                weights[k] -= s.rate * np.clip(move, -50, 50).astype(np.float32)
+            np.add.at(own, side[at], np.float32(1))
         return out / np.log(10), self._by_text(weights, texts)
 
     @staticmethod
@@ -265,8 +331,9 @@ class _Mixer:
         return weights.reshape(_INPUTS, texts, _GATES).transpose(1, 2, 0)
 
 
-def _parts(batch: pa.RecordBatch, rows: int = 256):
-    """Chunks of a bounded number of texts, as each holds shares of its own.
+def _parts(batch: pa.RecordBatch, rows: int = 64):
+    """Chunks of a bounded number of texts, as each holds shares of its own; small, as
+    all that a chunk needs should stay in the cache.
 
     Texts of like length stand together: the passes over a chunk are as many as its
     longest text needs.
@@ -274,7 +341,7 @@ def _parts(batch: pa.RecordBatch, rows: int = 256):
     size = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index("text"))), 0)
     batch = batch.take(pa.array(np.argsort(size.to_numpy(zero_copy_only=False), kind="stable")))
     for at in range(0, batch.num_rows, rows):
-        yield from pieces(batch.slice(at, rows))
+        yield from pieces(batch.slice(at, rows), limit=CHUNK_BYTES // 2)
 
 
 def _score(shared):
@@ -282,7 +349,7 @@ def _score(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        mixer = _Mixer(model)
+        mixer = _Mixer(model, model.tables)
         log_counts = np.append(np.log10(model.counts + 0.5), 0.0)
         for batch in batches:
             for part, chunk in _parts(batch):
@@ -291,7 +358,7 @@ def _score(shared):
                 text = np.repeat(np.arange(len(chunk)), tokens.count)
                 rare = symbol == len(model.known)
                 n_rare = np.bincount(text, rare, len(chunk)).astype(np.int64)
-                paths, _ = mixer(tokens)
+                paths, _ = mixer(tokens, symbol)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("uid"), part.column("doc_id"), pa.array(tokens.count), pa.array(tokens.count - n_rare),
@@ -304,26 +371,36 @@ def _score(shared):
 
 
 def _rare_tokens(shared):
+    """Each rarer token with the rows it stands in, once for each time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
+        values, uids, waiting = [], [], 0
         for batch in batches:
             for part, chunk in pieces(batch):
                 tokens = Tokens(chunk)
                 rare = model.symbols(tokens.hash) == len(model.known)
-                text = np.repeat(np.arange(len(chunk)), tokens.count)[rare]
-                value = tokens.hash[rare]
-                order = np.lexsort((value, text))
-                value, text = value[order], text[order]
-                edge = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (text[1:] != text[:-1]), [True]]))[: len(value) + 1]
-                if not len(value):
-                    continue
-                first = edge[:-1]
-                uid = part.column("uid").to_numpy()[text[first]]
-                yield pa.RecordBatch.from_arrays([pa.array(value[first].view(np.int64)), pa.array(uid), pa.array(np.diff(edge))], names=["token", "uid", "times"])
+                values.append(tokens.hash[rare])
+                uids.append(np.repeat(part.column("uid").to_numpy(), tokens.count)[rare])
+                waiting += len(values[-1])
+                if waiting >= _RARE:
+                    yield _gathered(values, uids)
+                    values, uids, waiting = [], [], 0
+        if waiting:
+            yield _gathered(values, uids)
 
     return run
 
 
+def _gathered(values: list[np.ndarray], uids: list[np.ndarray]) -> pa.RecordBatch:
+    value, uid = np.concatenate(values), np.concatenate(uids)
+    order = np.argsort(value)
+    value, uid = value[order], uid[order]
+    first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    count = np.diff(np.append(first, len(value)))
+    return pa.RecordBatch.from_arrays([pa.array(value[first].view(np.int64)), list_column(pa.array(uid), count)], names=["token", "uids"])
+
+
 def fit(docs: DataFrame, training: Column, settings: Settings = Settings()) -> tuple[Model, DataFrame]:
     """The model, and the counts of all training tokens."""
     s, spark = settings, docs.sparkSession
@@ -341,18 +418,16 @@ def fit(docs: DataFrame, training: Column, settings: Settings = Settings()) -> t
     tree = Tree(np.append(own.astype(float), rare_total + 0.5 * (rare_distinct + 1)))
     model = Model(known, own, tree, total, distinct, rare_total, rare_distinct, s)
     shared = spark.sparkContext.broadcast(model)
-    part = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(s.held_back))
-    parts = [taught.where(part == k) for k in range(s.held_back)]
-    own_tables = [_tables(p, shared) for p in parts]
+    part = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(s.held_back)).cast("int").alias("part")
+    taught = taught.select(part, "text")
+    own_tables = _tables(taught, shared)
     # Each part's counts end at the largest; so do their sums.
-    all_tables = sum((own.astype(np.int64) for own in own_tables), np.int64(0))
+    all_tables = own_tables.sum(axis=0, dtype=np.int64)
     model.weights = np.full((_GATES, _INPUTS), 0.3)
+    if total and s.rounds:
+        model.tables = np.stack([_ending(all_tables - own) for own in own_tables])
     for _ in range(s.rounds if total else 0):
-        ends, share = np.zeros(model.weights.size), 0
-        for own, rows in zip(own_tables, parts):
-            model.tables = _ending(all_tables - own)
-            more, tokens = _ends(rows, spark.sparkContext.broadcast(model))
-            ends, share = ends + more, share + tokens
+        ends, share = _ends(taught, spark.sparkContext.broadcast(model))
         model.weights = (ends / max(share, 1)).reshape(model.weights.shape)
     # Nothing is left out of the counts that score.
     model.tables = _ending(all_tables)
@@ -368,26 +443,31 @@ _UNIT = float(1 << 20)
 
 
 def _refined(shared):
-    """Sums over texts: tokens, and each last weight times the tokens."""
+    """Sums over texts: tokens, and each last weight times the tokens. A part's texts
+    are read with the tables of the other parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer = _Mixer(shared.value)
+        model: Model = shared.value
+        mixers: dict[int, _Mixer] = {}
         for batch in batches:
-            for _, chunk in _parts(batch):
-                tokens = Tokens(chunk)
-                _, last = mixer(tokens)
-                whole = np.rint(last.astype(np.float64) * _UNIT).astype(np.int64).reshape(len(chunk), -1)
-                sums = (whole * tokens.count[:, None]).sum(axis=0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(sums) + 1), pa.int32()), pa.array(np.append(sums, tokens.count.sum()))], names=["cell", "total"]
-                )
+            for part, rows in _by_part(batch, model.settings.held_back):
+                if part not in mixers:
+                    mixers[part] = _Mixer(model, model.tables[part])
+                for _, chunk in _parts(rows):
+                    tokens = Tokens(chunk)
+                    _, last = mixers[part](tokens, model.symbols(tokens.hash))
+                    whole = np.rint(last.astype(np.float64) * _UNIT).astype(np.int64).reshape(len(chunk), -1)
+                    sums = (whole * tokens.count[:, None]).sum(axis=0)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.arange(len(sums) + 1), pa.int32()), pa.array(np.append(sums, tokens.count.sum()))], names=["cell", "total"]
+                    )
 
     return run
 
 
 def _ends(rows: DataFrame, shared) -> tuple[np.ndarray, int]:
     """Weights at the end of each text times its tokens, summed; all tokens."""
-    sums = rows.select("text").mapInArrow(_refined(shared), "cell int, total long")
+    sums = rows.mapInArrow(_refined(shared), "cell int, total long")
     found = sums.groupBy("cell").agg(F.sum(F.col("total").cast("decimal(20,0)")).alias("total")).collect()
     shared.unpersist()
     out = np.zeros(_GATES * _INPUTS + 1)
@@ -397,14 +477,15 @@ def _ends(rows: DataFrame, shared) -> tuple[np.ndarray, int]:
 
 
 def _tables(taught: DataFrame, shared) -> np.ndarray:
-    """Counts under all contexts, summed over the rows."""
-    parts = taught.select("text").mapInArrow(_train(shared), "part int, counts binary")
+    """Counts under all contexts, summed over the rows of each part."""
+    s = shared.value.settings
+    parts = taught.mapInArrow(_train(shared), "part int, counts binary")
     for width in (16, 1):  # sums of a few parts at a time
         parts = parts.withColumn("turn", (F.rand(6) * width).cast("int")).groupBy("part", "turn").applyInArrow(_add, "part int, counts binary")
-    tables = np.zeros((1 << shared.value.settings.slot_bits) * 2 * _CONTEXTS, np.uint32)
+    tables = np.zeros(s.held_back * (1 << s.slot_bits) * 2 * _CONTEXTS, np.uint32)
     for r in parts.toLocalIterator():
         tables[r["part"] * _PART : (r["part"] + 1) * _PART] = np.frombuffer(r["counts"], "<u4")
-    return tables
+    return tables.reshape(s.held_back, -1)
 
 
 def score(docs: DataFrame, training: Column, settings: Settings = Settings()) -> DataFrame:
@@ -420,13 +501,12 @@ def score(docs: DataFrame, training: Column, settings: Settings = Settings()) ->
         _score(shared), "uid long, doc_id long, n_tokens long, n_top long, top_log double, n_rare long, path_log double, n_bytes long"
     )
     given = docs if unique else docs.dropDuplicates(["uid"])
-    rare = given.select("uid", "text").mapInArrow(_rare_tokens(shared), "token long, uid long, times long")
-    seen = rare.join(counts, "token", "left")
+    rare = given.select("uid", "text").mapInArrow(_rare_tokens(shared), "token long, uids array<long>")
     number = F.coalesce("count", F.lit(0))
-    sums = seen.groupBy("uid").agg(
-        F.sum(F.col("times") * F.log10(number + 0.5)).alias("rare_log"),
-        F.sum(F.when(number > 0, F.col("times")).otherwise(0)).alias("rare_known"),
+    seen = rare.join(counts, "token", "left").select(
+        F.explode("uids").alias("uid"), F.log10(number + 0.5).alias("log"), (number > 0).cast("long").alias("is_known")
     )
+    sums = seen.groupBy("uid").agg(F.sum("log").alias("rare_log"), F.sum("is_known").alias("rare_known"))
     out = scored.join(sums, "uid", "left")
     rare_log, rare_known = F.coalesce("rare_log", F.lit(0.0)), F.coalesce("rare_known", F.lit(0))
     base = F.col("top_log") + rare_log - F.col("n_tokens") * float(np.log10(model.total + 0.5 * (model.distinct + 1)))

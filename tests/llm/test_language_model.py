@@ -85,3 +85,61 @@ def test_start_weights_learn_from_every_training_document(docs_of):
     found = [LM.fit(docs_of(own, parts), F.lit(True), SMALL)[0].weights for own, parts in ((rows, 1), (rows[::-1], 5), (rows[:-1], 2))]
     assert (found[0] != 0.3).any() and (found[0] == found[1]).all()
     assert (found[0] != found[2]).any()
+
+
+def test_frequent_tokens_are_found_by_their_leading_bits():
+    """Also where several share them, at both ends of the range, and none that is not known."""
+    lead = np.uint64(7) << np.uint64(64 - LM._LEAD)
+    known = np.unique(np.concatenate([lead + np.arange(0, 40, 2, np.uint64), np.array([0, 5, (1 << 64) - 1], np.uint64)]))
+    model = LM.Model(known, np.ones(len(known)), None, 0, 0, 0.0, 0, SMALL)
+    asked = np.concatenate([known, known + np.uint64(1), np.array([lead - np.uint64(1), 1 << 63], np.uint64)])
+    place = {int(k): i for i, k in enumerate(known)}
+    assert model.symbols(asked).tolist() == [place.get(int(t), len(known)) for t in asked]
+    full = LM.Model(known[:-1], known[:-1], None, 0, 0, 0.0, 0, SMALL)
+    assert full.symbols(known[-1:]).tolist() == [len(known) - 1]
+
+
+def test_rarer_tokens_leave_a_task_once(docs_of):
+    """A token is one row with all the rows it stands in, not a row for each of them."""
+    import pyarrow as pa
+
+    rows = [(k, f"often {'rare ' * (k % 3 + 1)}only{k}") for k in range(30)]
+    model, _ = LM.fit(docs_of(rows), F.lit(True), LM.Settings(frequent=1, slot_bits=10))
+    shared = type("Shared", (), {"value": model})
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30)), pa.array([t for _, t in rows])], names=["uid", "text"])
+    got = {r["token"]: sorted(r["uids"]) for out in LM._rare_tokens(shared)(iter([batch])) for r in out.to_pylist()}
+    assert len(got) == 32  # "often", the end and 30 of their own; "rare" is the frequent one
+    assert sorted(map(len, got.values())) == [1] * 30 + [30, 30]
+
+
+def test_training_documents_are_read_twice(docs_of, sample_rows):
+    """Once for all tables, once for all start weights, however many parts there are."""
+    calls = []
+    train, refined = LM._train, LM._refined
+    try:
+        LM._train = lambda shared: calls.append("tables") or train(shared)
+        LM._refined = lambda shared: calls.append("weights") or refined(shared)
+        LM.fit(docs_of(sample_rows), F.lit(True), SMALL)
+    finally:
+        LM._train, LM._refined = train, refined
+    assert calls == ["tables", "weights"]
+
+
+def test_score_of_a_text_does_not_depend_on_its_neighbours(docs_of, sample_rows):
+    """Texts of one block and of many, alone or side by side."""
+    import pyarrow as pa
+
+    model, _ = LM.fit(docs_of(sample_rows), F.lit(True), SMALL)
+    mixer = LM._Mixer(model, model.tables)
+    texts = ["", "one two", *[t or "" for _, t in sample_rows[:9]], " ".join(f"w{k % 23}" for k in range(500))]
+
+    def scored(some):
+        batch = pa.RecordBatch.from_arrays([pa.array(some)], names=["text"])
+        [(_, chunk)] = LM.pieces(batch)
+        own = LM.Tokens(chunk)
+        return mixer(own, model.symbols(own.hash))
+
+    together, last = scored(texts)
+    for k, text in enumerate(texts):
+        alone, weights = scored([text])
+        assert alone[0] == together[k] and (weights[0] == last[k]).all()
