@@ -176,7 +176,7 @@ class Events:
         # A few tokens at a time, so that what is between stays in the cache.
         for at in range(0, n, _FEW):
             size, bounds = self.size[at : at + _FEW], slice(edge[at], edge[min(at + _FEW, n)])
-            step = tree.step.take(self.path[bounds])
+            step = tree.step.take(self.path[bounds], mode="clip")
             for slots, context in zip(self.slots, contexts):
                 h = np.repeat(context[at : at + _FEW], size)
                 h ^= step
@@ -190,7 +190,7 @@ class Events:
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [Tokens(chunk).hash for _, chunk in pieces(batch)]
+        found = [Tokens(chunk).hash for _, chunk in pieces(batch, limit=CHUNK_BYTES // 4)]
         if found:
             keys, counts = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["token", "count"])
@@ -250,7 +250,11 @@ class _Mixer:
     def __init__(self, model: Model, tables: np.ndarray):
         self.model = model
         counts = tables.reshape(_CONTEXTS, -1, 2)
-        self.logit = np.empty(counts.shape[:2], np.float32)
+        # All that is looked up at random stands in one stretch, which large pages may hold.
+        slots = counts.shape[1]
+        room = np.empty(slots * (4 * _CONTEXTS + 2), np.int8)
+        self.logit = room[: slots * 4 * _CONTEXTS].view(np.float32).reshape(_CONTEXTS, slots)
+        self.know = room[slots * 4 * _CONTEXTS :].reshape(2, slots)
         level = []
         for k in range(_CONTEXTS):
             one = counts[k, :, 1].astype(np.float64)
@@ -259,7 +263,8 @@ class _Mixer:
             self.logit[k] = np.log(share / (1 - share))
             level.append(np.minimum(np.log2(total + 1), 12).astype(np.int8))
         # A gate is the sum of what the first and the second table know.
-        self.know = (np.minimum(level[0] // 3, 2) * np.int8(4), np.minimum(level[1] // 2, 3))
+        self.know[0] = np.minimum(level[0] // 3, 2) * 4
+        self.know[1] = np.minimum(level[1] // 2, 3)
         tree, share = model.tree, model.tree.share
         self.nodes = len(share)
         # By place on a path: the side taken, what the node says, the corpus' part in own shares.
@@ -268,8 +273,9 @@ class _Mixer:
         self.base = np.log(share / (1 - share)).astype(np.float32)[tree.node]
         self.prior = (np.float32(model.settings.own) * share.astype(np.float32))[tree.node]
 
-    def __call__(self, tokens: Tokens, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of the probability of each text's paths; the texts' last weights."""
+    def __call__(self, tokens: Tokens, symbol: np.ndarray, score: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of the probability of each text's paths, if asked for; the texts' last
+        weights."""
         model, s = self.model, self.model.settings
         texts = len(tokens.count)
         out = np.zeros(texts)
@@ -285,44 +291,46 @@ class _Mixer:
         events = Events(tokens, symbol, model, order)
         stop = np.cumsum(events.size)[np.cumsum(np.bincount(block)) - 1].tolist()
         owner = text[order]
-        text = np.repeat(owner, events.size)
-        # One table after another, for all bits of the chunk.
+        # One table after another, for all bits of the chunk; no index lies outside, and
+        # "clip" saves the test for that.
         x = np.empty((_INPUTS - 1, len(events.path)), np.float32)
         np.take(self.base, events.path, out=x[0], mode="clip")
         for k, slot in enumerate(events.slots):
             np.take(self.logit[k], slot, out=x[k + 1], mode="clip")
         key = np.repeat(owner * _GATES, events.size)
         for known, slot in zip(self.know, events.slots):
-            key += known.take(slot)
-        sign, prior = self.sign.take(events.path), self.prior.take(events.path)
+            key += known.take(slot, mode="clip")
+        sign, prior = self.sign.take(events.path, mode="clip"), self.prior.take(events.path, mode="clip")
         # How often the text itself took either side of a node: two places a node.
         side = np.repeat(owner * (2 * self.nodes), events.size)
-        side += self.side.take(events.path)
+        side += self.side.take(events.path, mode="clip")
         del events
         own = np.zeros(2 * texts * self.nodes, np.float32)
         pairs = own.reshape(-1, 2)
         whole = np.float32(s.own)
+        moves = np.empty((_INPUTS, cells))
         for begin, end in zip([0, *stop], stop):
             at = slice(begin, end)
             cell, flip = key[at], sign[at]
-            so_far = pairs.take(side[at] >> 1, axis=0)
+            so_far = pairs.take(side[at] >> 1, axis=0, mode="clip")
             ones = so_far[:, 1] + prior[at]
             ones /= so_far[:, 0] + (whole - prior[at])
             now = [*x[:, at], np.log(ones, out=ones)]
-            z = weights[0].take(cell) * now[0]
+            z = weights[0].take(cell, mode="clip") * now[0]
             for k in range(1, _INPUTS):
-                more = weights[k].take(cell)
+                more = weights[k].take(cell, mode="clip")
                 more *= now[k]
                 z += more
             # The share of the side that was taken, and what it falls short of one.
             z *= flip
             other = np.exp(np.clip(z, -30, 30, out=z), out=z)
-            out -= np.bincount(text[at], np.log1p(other), texts)
+            if score:
+                out -= np.bincount(cell, np.log1p(other), cells).reshape(texts, _GATES).sum(axis=1)
             error = other / (1 + other)
             error *= flip
             for k in range(_INPUTS):
-                move = np.bincount(cell, error * now[k], cells)
-                weights[k] -= s.rate * np.clip(move, -50, 50).astype(np.float32)
+                moves[k] = np.bincount(cell, error * now[k], cells)
+            weights -= s.rate * np.clip(moves, -50, 50, out=moves).astype(np.float32)
             np.add.at(own, side[at], np.float32(1))
         return out / np.log(10), self._by_text(weights, texts)
 
@@ -377,7 +385,7 @@ def _rare_tokens(shared):
         model: Model = shared.value
         values, uids, waiting = [], [], 0
         for batch in batches:
-            for part, chunk in pieces(batch):
+            for part, chunk in pieces(batch, limit=CHUNK_BYTES // 4):
                 tokens = Tokens(chunk)
                 rare = model.symbols(tokens.hash) == len(model.known)
                 values.append(tokens.hash[rare])
@@ -455,7 +463,7 @@ def _refined(shared):
                     mixers[part] = _Mixer(model, model.tables[part])
                 for _, chunk in _parts(rows):
                     tokens = Tokens(chunk)
-                    _, last = mixers[part](tokens, model.symbols(tokens.hash))
+                    _, last = mixers[part](tokens, model.symbols(tokens.hash), score=False)
                     whole = np.rint(last.astype(np.float64) * _UNIT).astype(np.int64).reshape(len(chunk), -1)
                     sums = (whole * tokens.count[:, None]).sum(axis=0)
                     yield pa.RecordBatch.from_arrays(
