@@ -105,7 +105,8 @@ def deduplicate(docs: DataFrame, scheme: Scheme = BYTES, digest: bool = False) -
     marks = store.written(marks, "marks")
 
     unclear = marks.where(F.exists("marks", lambda x: x.bitwiseAND(F.lit(M.SOME)) > 0))
-    single = docs.select("uid", "text").join(unclear.hint("shuffle_hash"), "uid").select("uid", "text", "marks")
+    # All columns of docs, as in the last join: Spark shuffles the texts once for both.
+    single = docs.join(unclear.hint("shuffle_hash"), "uid").select("doc_id", "text", "uid", "marks")
     single = single.mapInArrow(_single(scheme), "print long, uid long, at long")
     again = single.withColumn("n", F.count("*").over(W.partitionBy("print"))).where("n > 1")
     windows = again.groupBy("uid").agg(F.collect_list("at").alias("windows"))

@@ -133,6 +133,15 @@ def test_kept_bytes_and_spans(docs_of):
     assert bytes(got[2]["kept"]) == b""
 
 
+def test_texts_are_shuffled_once(docs_of):
+    """The stretches looked at one by one and the last join take the same shuffled texts."""
+    rows = mosaic(7)
+    done = suffix_dedup.deduplicate(docs_of(rows), FEW_BYTES, digest=True)
+    assert len(done.collect()) == len(rows)
+    plan = done._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert re.search(r"ReusedExchange \[[^]]*\btext#[^]]*\], Exchange hashpartitioning\(uid#", plan), plan
+
+
 def test_empty_tables(docs_of):
     assert suffix_dedup.deduplicate(docs_of([])).count() == 0
     assert substring_dedup.deduplicate(docs_of([])).count() == 0
